@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.common import table
+from tidewell.llm.decontaminate import contamination
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.shards import pack_shards
+from tidewell.llm.tokens import over_limit
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file ``name`` lies on this machine and the workers'."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +28,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return over_limit(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
+    "op5_decontamination": op5_decontamination,
+    "op7_token_counts": op7_token_counts,
     "op8_mix_sources": op8_mix_sources,
 }
 
