@@ -146,7 +146,7 @@ def best_fit_decreasing(items: Iterable[tuple[Hashable, int]], capacity: int | N
     return placed
 
 
-def pack_shards(docs: DataFrame, shards: int = 16, head_per_shard: int = 4096, bundles_per_shard: int = 1024, rows_per_cell: int = 50_000) -> DataFrame:
+def pack_shards(docs: DataFrame, shards: int = 16, head_per_shard: int = 4096, bundles_per_shard: int = 1024, rows_per_cell: int = 1000) -> DataFrame:
     """Put every row of ``docs(doc_id, text, ...)`` into one of ``shards`` shards of near-equal bytes.
 
     Returns doc_id, size (UTF-8 bytes of the text plus 1), text_crc32 (unsigned), law ('bytes'), shard, slot (gapless
