@@ -71,7 +71,7 @@ def sainte_lague(shares: Sequence[float], seats: int, limits: Sequence[int] | No
 
 
 def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 2000, seed: int = 17
+    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 500, seed: int = 17
 ) -> DataFrame:
     """How many words a mix takes of each row of ``docs(doc_id, text, source, ...)``.
 
