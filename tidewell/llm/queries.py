@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.quality import score_quality
 from tidewell.llm.shards import pack_shards
 from tidewell.llm.tokens import over_limit
 
@@ -20,6 +21,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -37,6 +42,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
     "op7_token_counts": op7_token_counts,
