@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewell.llm import archives, licenses
 from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.mixing import mix_sources
@@ -37,16 +38,29 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return over_limit(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
+    "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
     "op8_mix_sources": op8_mix_sources,
+    "op9_licenses": op9_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc": archives.ORACLE_SQL,
+    "op9_licenses": licenses.oracle(),
+}
