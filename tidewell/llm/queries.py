@@ -10,6 +10,7 @@ from tidewell.llm import archives, licenses
 from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.neighbours import search
 from tidewell.llm.quality import score_quality
 from tidewell.llm.shards import pack_shards
 from tidewell.llm.tokens import over_limit
@@ -50,6 +51,11 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_sharding": op4_sharding,
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_mix_sources": op8_mix_sources,
     "op9_licenses": op9_licenses,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
