@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.llm import archives, licenses
 from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
+from tidewell.llm.language_model import score_documents
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.neighbours import search
 from tidewell.llm.quality import score_quality
@@ -27,6 +28,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -58,6 +63,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_lm_scores": op2_lm_scores,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
