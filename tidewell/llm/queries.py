@@ -11,6 +11,7 @@ from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.language_model import score_documents
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.near_duplicates import components
 from tidewell.llm.neighbours import search
 from tidewell.llm.quality import score_quality
 from tidewell.llm.shards import pack_shards
@@ -32,6 +33,10 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -64,6 +69,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_lm_scores": op2_lm_scores,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
