@@ -132,6 +132,41 @@ def _parts(tests: DataFrame, window: int) -> Iterator[TestTerms]:
         yield TestTerms(held, window)
 
 
+def _scanner(context, tests: DataFrame, window: int, slack: int | None):
+    """A function from texts to (first, end, words, words hit, items by text) of one slice after the other."""
+    parts = [context.broadcast(p) for p in _parts(tests, window)]
+
+    def scan(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[int]]]]:
+        for lo, hi in slices([len(x) for x in texts]):
+            tokens = [words(x) for x in texts[lo:hi]]
+            counts = np.fromiter(map(len, tokens), np.int64, hi - lo)
+            begin = np.cumsum(counts + 1) - counts - 1  # a free place after each document
+            total = int(counts.sum()) + hi - lo
+            hits = np.zeros(total + 1, np.int64)
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for part in parts:
+                tests_ = part.value
+                get = tests_.vocabulary.get
+                ids = np.full(total, -1, np.int64)
+                flat = np.fromiter((get(w, -1) for doc in tokens for w in doc), np.int64, int(counts.sum()))
+                ids[np.arange(len(flat)) + np.repeat(np.arange(hi - lo), counts)] = flat
+                index = PositionalIndex(ids, len(tests_.vocabulary))
+                phrase, at = index.phrases(tests_) if slack is None else index.near(tests_, slack)
+                np.add.at(hits, at, 1)
+                np.add.at(hits, at + (tests_.length[phrase] if slack is None else 1), -1)
+                found.append((np.searchsorted(begin, at, side="right") - 1, tests_.item[phrase]))
+            inside = np.concatenate([[0], np.cumsum(np.cumsum(hits[:-1]) > 0)])
+            n_hit = inside[begin + counts] - inside[begin]
+            items: list[list[int]] = [[] for _ in range(hi - lo)]
+            if found:
+                pairs = np.unique(np.stack([np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])]), axis=1)
+                for doc, item in pairs.T.tolist():
+                    items[doc].append(item)
+            yield lo, hi, counts, n_hit, items
+
+    return scan
+
+
 MATCHES = "doc_id long, n_words long, n_hit long, items array<long>"
 
 
@@ -144,43 +179,30 @@ def find_matches(docs: DataFrame, tests: DataFrame, window: int = 13, slack: int
     are the ids of items that match, in order, each once.  Null and empty texts have no words and no matches; an item's
     null id counts as -1.  Repeated rows count each; an empty table of items matches nothing.
     """
-    context = docs.sparkSession.sparkContext
-    parts = [context.broadcast(p) for p in _parts(tests, window)]
+    scan = _scanner(docs.sparkSession.sparkContext, tests, window, slack)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for lo, hi in slices([len(x) for x in texts]):
-                tokens = [words(x) for x in texts[lo:hi]]
-                counts = np.fromiter(map(len, tokens), np.int64, hi - lo)
-                begin = np.cumsum(counts + 1) - counts - 1  # a free place after each document
-                total = int(counts.sum()) + hi - lo
-                hits = np.zeros(total + 1, np.int64)
-                found: list[tuple[np.ndarray, np.ndarray]] = []
-                for part in parts:
-                    tests_ = part.value
-                    get = tests_.vocabulary.get
-                    ids = np.full(total, -1, np.int64)
-                    flat = np.fromiter((get(w, -1) for doc in tokens for w in doc), np.int64, int(counts.sum()))
-                    ids[np.arange(len(flat)) + np.repeat(np.arange(hi - lo), counts)] = flat
-                    index = PositionalIndex(ids, len(tests_.vocabulary))
-                    phrase, at = index.phrases(tests_) if slack is None else index.near(tests_, slack)
-                    np.add.at(hits, at, 1)
-                    np.add.at(hits, at + (tests_.length[phrase] if slack is None else 1), -1)
-                    found.append((np.searchsorted(begin, at, side="right") - 1, tests_.item[phrase]))
-                inside = np.concatenate([[0], np.cumsum(np.cumsum(hits[:-1]) > 0)])
-                n_hit = inside[begin + counts] - inside[begin]
-                items: list[list[int]] = [[] for _ in range(hi - lo)]
-                if found:
-                    pairs = np.unique(np.stack([np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])]), axis=1)
-                    for doc, item in pairs.T.tolist():
-                        items[doc].append(item)
+            for lo, hi, counts, n_hit, items in scan(text_bytes(batch.column(1))):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(counts), pa.array(n_hit), pa.array(items, pa.list_(pa.int64()))],
                     ["doc_id", "n_words", "n_hit", "items"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, MATCHES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, MATCHES)
+
+
+def clean_documents(docs: DataFrame, tests: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that :func:`contamination` doesn't call contaminated; a narrow pass."""
+    scan = _scanner(docs.sparkSession.sparkContext, tests, window, None)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, counts, n_hit, _ in scan(text_bytes(batch.column(at))):
+                yield batch.slice(lo, hi - lo).filter(pa.array((n_hit == 0) | (share * n_hit < counts)))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def contamination(docs: DataFrame, tests: DataFrame, window: int = 13, share: int = 20) -> DataFrame:

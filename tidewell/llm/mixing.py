@@ -6,7 +6,7 @@ import heapq
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import stash
@@ -70,31 +70,16 @@ def sainte_lague(shares: Sequence[float], seats: int, limits: Sequence[int] | No
     return held
 
 
-def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 500, seed: int = 17
-) -> DataFrame:
-    """How many words a mix takes of each row of ``docs(doc_id, text, source, ...)``.
-
-    Sources in code-point order (null last) have the repeated ``weights``; targets share all words and stop at ``cap``
-    times a source's words.  Rows are dealt to shards of about ``rows_per_shard`` by a seeded hash.  In each shard the
-    sources get integer quotas of ``block_tokens``-word blocks by Sainte-Lague; a source's quota takes all its blocks as
-    often as it goes, and the rest as a seeded run of blocks over its rows in seeded order.  A row's words are those of
-    its blocks.
-
-    Returns doc_id, source, size, source_size, target, taken.  Null text: size 0, taken 0.  Repeated rows and doc_ids
-    count each for itself; ties in the seeded order are between rows that are alike in id and size.  An empty table gives
-    an empty result.  Other columns are not read.
-    """
-    sized = stash(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("skey"),
-            F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-            F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)).alias("draw"),
-        ),
-        "mix-rows",
-    )
+def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens: int, rows_per_shard: int, seed: int, carried: Column | None) -> DataFrame:
+    """Rows with size, source_size, target and taken; with ``carried``, that expression of ``docs`` as ``row``, too."""
+    columns = [
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("skey"),
+        F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)).alias("draw"),
+    ]
+    sized = stash(docs.select(*columns), "mix-rows")
     found = sized.groupBy("skey").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -109,9 +94,9 @@ def mix_sources(
         limits = [cap * -(-int(s) // block_tokens) for s in part.shard_size]
         return part.assign(quota=sainte_lague(wish, round(sum(wish) / block_tokens), limits))
 
-    sized = sized.withColumn("shard", F.pmod(F.col("draw"), F.lit(shards)))
+    shard = F.pmod(F.col("draw"), F.lit(shards))
     per_shard = (
-        sized.groupBy("shard", "skey")
+        sized.groupBy(shard.alias("shard"), "skey")
         .agg(F.sum("size").alias("shard_size"))
         .groupBy("shard")
         .applyInPandas(quotas, "shard long, skey string, shard_size long, quota long")
@@ -119,14 +104,15 @@ def mix_sources(
     schema = "skey string, source_size long, target double"
     by_source = docs.sparkSession.createDataFrame([(r.skey, r.size, t) for r, t in zip(found, targets, strict=True)], schema)
 
+    rows = sized if carried is None else docs.select(*columns, carried.alias("row"))
     b, st, q = F.lit(block_tokens), F.col("shard_size"), F.col("quota")
-    blocks = F.ceil(st / b)
     upto = Window.partitionBy("shard", "skey").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     laid = (
-        sized.join(per_shard, ["shard", "skey"])
+        rows.withColumn("shard", shard)
+        .join(per_shard, ["shard", "skey"])
         .withColumn("end", F.sum("size").over(upto))
         .withColumn("begin", F.col("end") - F.col("size"))
-        .withColumn("blocks", F.greatest(blocks, F.lit(1)))
+        .withColumn("blocks", F.greatest(F.ceil(st / b), F.lit(1)))
         .withColumn("whole", F.least(F.lit(cap), F.floor(q / F.col("blocks"))))
         .withColumn("rest", F.when(F.col("whole") < cap, q - F.col("whole") * F.col("blocks")).otherwise(0))
         .withColumn("first", F.pmod(F.xxhash64("shard", "skey", F.lit(seed)), F.col("blocks")))
@@ -137,5 +123,33 @@ def mix_sources(
 
     run = overlap(F.col("first") * b, (F.col("first") + F.col("rest")) * b) + overlap(F.lit(0), (F.col("first") + F.col("rest") - F.col("blocks")) * b)
     laid = laid.withColumn("taken", (F.col("whole") * F.col("size") + run).cast("long"))
-    out = laid.join(F.broadcast(by_source) if len(found) <= 10_000 else by_source, "skey")
-    return out.select("doc_id", "source", "size", "source_size", "target", "taken")
+    return laid.join(F.broadcast(by_source) if len(found) <= 10_000 else by_source, "skey")
+
+
+def mix_sources(
+    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 500, seed: int = 17
+) -> DataFrame:
+    """How many words a mix takes of each row of ``docs(doc_id, text, source, ...)``.
+
+    Sources in code-point order (null last) have the repeated ``weights``; targets share all words and stop at ``cap``
+    times a source's words.  Rows are dealt to shards of about ``rows_per_shard`` by a seeded hash.  In each shard the
+    sources get integer quotas of ``block_tokens``-word blocks by Sainte-Lague; a source's quota takes all its blocks as
+    often as it goes, and the rest as a seeded run of blocks over its rows in seeded order.  A row's words are those of
+    its blocks.
+
+    Returns doc_id, source, size, source_size, target, taken.  Null text: size 0, taken 0.  Repeated rows and doc_ids
+    count each for itself; ties in the seeded order are between rows that are alike in id and size.  An empty table gives
+    an empty result.  Other columns are not read.
+    """
+    laid = _laid_out(docs, weights, cap, block_tokens, rows_per_shard, seed, None)
+    return laid.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(
+    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 500, seed: int = 17
+) -> DataFrame:
+    """The mix of :func:`mix_sources` as rows: each row of ``docs``, whole and with all its columns, as often as the words
+    taken of it are its size, rounded (never, if that is less than half)."""
+    laid = _laid_out(docs, weights, cap, block_tokens, rows_per_shard, seed, F.struct(*[docs[c] for c in docs.columns]))
+    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(0)
+    return laid.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")

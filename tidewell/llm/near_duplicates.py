@@ -24,12 +24,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import lowered_words, mix64, slices, stash, text_bytes
 from tidewell.llm.components import connected_components
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words in a shingle.
 WORDS = 5
 #: Shingles on the list of frequent ones, at most: a size bound for the broadcast, without effect on results.
@@ -45,7 +46,12 @@ _SLOTS = 1 << 20
 
 
 def digest(text: bytes) -> bytes:
-    return hashlib.blake2b(text.lower(), digest_size=16).digest()
+    return hashlib.md5(text.lower()).digest()
+
+
+def digest_column(text: str) -> Column:
+    """:func:`digest` as an expression."""
+    return F.unhex(F.md5(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER).cast("binary")))
 
 
 class Shingler:
@@ -403,15 +409,8 @@ def _tile_pairs(tiles: DataFrame, nodes: DataFrame, stars: DataFrame) -> DataFra
     return tiles.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(pairs, LINKS).distinct()
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """Near-duplicate classes of ``docs(doc_id, text, ...)``: doc_id, n_shingles, component_id for every row.
-
-    A-Z are lower-cased; words are ``[^\\x20\\x09-\\x0D]+``.  A row's set is its distinct 5-word shingles, the whole
-    sequence if it has fewer words.  Rows link when 100 * intersection >= 80 * union; component_id is the smallest doc_id
-    that is reachable.  Without words (null and empty texts, too) the set is empty, the row links with nothing and is its
-    own component.  A null doc_id stays null only if no other id is reachable.  Repeated ids are rows of their own, linked
-    by texts alone.  An empty table gives an empty result.
-    """
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row's (doc_id, node, n), and those of rows with words with their component (a node)."""
     sets = stash(_sets(docs, _frequent(docs)), "near-sets")
     nodes = stash(
         sets.where("n > 0 and bitmap is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "common", "bitmap", "smallest")]),
@@ -429,7 +428,32 @@ def components(docs: DataFrame) -> DataFrame:
 
     rows = sets.select("doc_id", "node", "n")
     full = rows.where("n > 0").join(classes.select(F.col("vertex").alias("node"), "component"), "node", "left")
-    full = full.select("doc_id", "n", F.coalesce("component", "node").alias("component"))
+    return rows, full.select("doc_id", "node", "n", F.coalesce("component", "node").alias("component"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """Near-duplicate classes of ``docs(doc_id, text, ...)``: doc_id, n_shingles, component_id for every row.
+
+    A-Z are lower-cased; words are ``[^\\x20\\x09-\\x0D]+``.  A row's set is its distinct 5-word shingles, the whole
+    sequence if it has fewer words.  Rows link when 100 * intersection >= 80 * union; component_id is the smallest doc_id
+    that is reachable.  Without words (null and empty texts, too) the set is empty, the row links with nothing and is its
+    own component.  A null doc_id stays null only if no other id is reachable.  Repeated ids are rows of their own, linked
+    by texts alone.  An empty table gives an empty result.
+    """
+    rows, full = _classes(docs)
     lowest = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = full.join(lowest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def one_of_each_class(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which no near duplicate of smaller doc_id (null last), nor any
+    repeat, stays.  Rows without words all stay."""
+    _, full = _classes(docs)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("node").alias("node"))
+    first = full.groupBy("component").agg(F.min(order).alias("f")).select(F.col("f.id").alias("_kept_id"), F.col("f.node").alias("_kept_node"))
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), digest_column("text").alias("_node"))
+    has_words = F.coalesce(F.col("_row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_node") == F.col("_kept_node"))
+    kept = keyed.where(has_words).join(first, same, "left_semi").dropDuplicates(["_id", "_node"])
+    return kept.select("_row.*").unionByName(keyed.where(~has_words).select("_row.*"))
