@@ -1,11 +1,315 @@
-"""The registered queries of the change-data and ingestion operators, with their SQL twins."""
+"""The registered queries of the change-data and ingestion operators, with their SQL twins.
+
+``events`` stands for a change log (event_id the offset, user_id the key, event_type the operation), ``customer`` for a
+mirror, ``orders`` and ``lineitem`` for source tables and for jobs and tasks of an application.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from tidewell.functions import change_values, cleansing
+from tidewell.operators import changes, ledger, reports
+from tidewell.sources import avro
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL twin."""
+
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE_SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "c").otherwise("u")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", op.alias("op"))
+
+
+def mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount"), F.col("c_name").alias("origin"))
+
+
+def latest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = changes.latest_per_key(change_log(spark, sf_dir), "user_id", "event_id")
+    return latest.select(F.col("user_id").alias("id"), F.col("value").alias("amount"), F.lit("change").alias("origin"), "op", "event_id")
+
+
+_LOG = """log AS (
+    SELECT event_id, user_id, ts, value, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op FROM events
+), latest AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)"""
+_STATE = """SELECT id, amount, origin FROM (
+    SELECT user_id AS id, value AS amount, 'change' AS origin FROM latest WHERE {upserts}
+    UNION ALL
+    SELECT c_custkey, c_acctbal, c_name FROM customer WHERE {kept}
+)"""
+
+
+@query(f"WITH {_LOG} SELECT user_id, event_id, ts, value, op, md5(user_id::VARCHAR) AS id_iceberg FROM latest WHERE op <> 'd'")
+def cdc_latest_upserts(spark, sf_dir):
+    latest = changes.latest_per_key(change_log(spark, sf_dir), "user_id", "event_id")
+    return changes.upserts(latest).select("user_id", "event_id", "ts", "value", "op", cleansing.surrogate_key(["user_id"]).alias(cleansing.KEY))
+
+
+@query(f"WITH {_LOG} SELECT user_id, event_id, op FROM latest WHERE op = 'd'")
+def cdc_latest_deletes(spark, sf_dir):
+    latest = changes.latest_per_key(change_log(spark, sf_dir), "user_id", "event_id")
+    return changes.deletes(latest).select("user_id", "event_id", "op")
+
+
+@query(f"WITH {_LOG} " + _STATE.format(upserts="op <> 'd'", kept="c_custkey NOT IN (SELECT user_id FROM latest WHERE op <> 'd')"))
+def cdc_merge_apply(spark, sf_dir):
+    return changes.upserted(mirror(spark, sf_dir), changes.upserts(latest_changes(spark, sf_dir)), "id")
+
+
+@query(f"WITH {_LOG} SELECT c_custkey AS id, c_acctbal AS amount, c_name AS origin FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM latest WHERE op = 'd')")
+def cdc_delete_apply(spark, sf_dir):
+    return changes.deleted(mirror(spark, sf_dir), changes.deletes(latest_changes(spark, sf_dir)), "id")
+
+
+@query(f"WITH {_LOG} " + _STATE.format(upserts="op <> 'd'", kept="c_custkey NOT IN (SELECT user_id FROM latest)"))
+def cdc_apply_state(spark, sf_dir):
+    return changes.applied(mirror(spark, sf_dir), latest_changes(spark, sf_dir), "id")
+
+
+@query("SELECT l_orderkey, l_linenumber, md5(l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR) AS id_iceberg FROM lineitem")
+def surrogate_key(spark, sf_dir):
+    return cleansing.with_key(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "SELECT count(*) AS event_count, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_event_ts, min(event_id) AS min_offset, max(event_id) AS max_offset FROM events"
+)
+def batch_stats(spark, sf_dir):
+    return changes.batch_stats(table(spark, sf_dir, "events"), "ts", "event_id")
+
+
+@query("SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour, count(*) AS n FROM events GROUP BY ALL")
+def date_partitions(spark, sf_dir):
+    parts = ("year", "month", "day", "hour")
+    return cleansing.with_date_parts(table(spark, sf_dir, "events"), "ts", parts).groupBy(*parts).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, ts - INTERVAL 9 HOUR AS utc FROM events")
+def zone_shift(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.convert_timezone(F.lit("Asia/Seoul"), F.lit("UTC"), F.col("ts")).alias("utc"))
+
+
+@query(
+    """
+WITH n AS (SELECT event_id, event_id % 20000 AS days, (event_id % 977) * 1750000123 AS ms, (event_id % 983) * 1740000123457 AS us, event_id % 86400000000 AS of_day FROM events)
+SELECT event_id, strftime(DATE '1970-01-01' + days::INT, '%Y-%m-%d') AS d, CASE WHEN ms <> 0 THEN ms * 1000 - 32400000000 END AS t_ms, CASE WHEN us <> 0 THEN us - 32400000000 END AS t_us, of_day AS t_day FROM n"""
+)
+def logical_type_casts(spark, sf_dir):
+    e = F.col("event_id")
+    micros = lambda c, kind: F.unix_micros(change_values.logical_value(c, f"io.debezium.time.{kind}"))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format(change_values.logical_value((e % 20000).cast("int"), "io.debezium.time.Date"), "yyyy-MM-dd").alias("d"),
+        micros((e % 977) * F.lit(1750000123), "Timestamp").alias("t_ms"),
+        micros((e % 983) * F.lit(1740000123457), "MicroTimestamp").alias("t_us"),
+        micros(e % F.lit(86400000000), "MicroTime").alias("t_day"),
+    )
+
+
+@query("SELECT event_id, event_id::INT AS schema_id, event_type AS payload FROM events")
+def wire_header(spark, sf_dir):
+    message = F.concat(F.unhex(F.concat(F.lit("00"), F.lpad(F.hex("event_id"), 8, "0"))), F.col("event_type").cast("binary"))
+    framed = table(spark, sf_dir, "events").select("event_id", message.alias("m"))
+    return framed.select("event_id", change_values.schema_id(F.col("m")).alias("schema_id"), change_values.payload(F.col("m")).cast("string").alias("payload"))
+
+
+@query("SELECT event_id, user_id, event_type, value, event_id % 2 = 0 AS even, CASE WHEN event_id % 3 = 0 THEN NULL ELSE props END AS props FROM events")
+def avro_round_trip(spark, sf_dir):
+    schema = {
+        "type": "record", "name": "Event",
+        "fields": [
+            {"name": "event_id", "type": "long"}, {"name": "user_id", "type": "long"}, {"name": "event_type", "type": "string"},
+            {"name": "value", "type": ["null", "double"]}, {"name": "even", "type": "boolean"}, {"name": "props", "type": ["null", "string"]},
+        ],
+    }
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", (F.col("event_id") % 2 == 0).alias("even"), F.when(F.col("event_id") % 3 != 0, F.col("props")).alias("props")
+    )
+    return avro.decoded(avro.encoded(rows, schema), "payload", schema).select("record.*")
+
+
+@query("SELECT min(o_orderkey) AS lower_bound, max(o_orderkey) AS upper_bound FROM orders")
+def jdbc_bounds(spark, sf_dir):
+    return table(spark, sf_dir, "orders").agg(F.min("o_orderkey").alias("lower_bound"), F.max("o_orderkey").alias("upper_bound"))
+
+
+@query(
+    """SELECT event_id, user_id, event_type, ts FROM events WHERE NOT (ts < TIMESTAMP '2024-01-16' AND (user_id, event_type, ts) NOT IN (SELECT user_id, event_type, max(ts) FROM events GROUP BY ALL))"""
+)
+def ledger_purge_keep_latest(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    return ledger.kept_rows(rows, ["user_id", "event_type"], "ts", F.lit("2024-01-16").cast("timestamp_ntz"))
+
+
+@query("SELECT user_id, event_type, max(ts) AS last_completed FROM events WHERE event_type <> 'error' GROUP BY ALL")
+def ledger_last_success(spark, sf_dir):
+    return ledger.last_success(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", F.col("event_type") != "error")
+
+
+@query(
+    """WITH s AS (SELECT user_id, event_type, max(event_id) AS v FROM events GROUP BY ALL)
+SELECT user_id AS a, event_type AS b, 'x' AS c, v FROM s
+UNION ALL SELECT c_custkey, m, 'x', c_nationkey::BIGINT FROM customer, (SELECT unnest(['click', 'none']) AS m) WHERE (c_custkey, m) NOT IN (SELECT user_id, event_type FROM s)"""
+)
+def ledger_merge(spark, sf_dir):
+    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("a"), F.explode(F.array(F.lit("click"), F.lit("none"))).alias("b"), F.lit("x").alias("c"), F.col("c_nationkey").cast("long").alias("v"))
+    rows = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("a"), F.col("event_type").alias("b")).agg(F.max("event_id").alias("v")).select("a", "b", F.lit("x").alias("c"), "v")
+    return ledger.merged(base, rows, ["a", "b", "c"])
+
+
+@query(
+    """SELECT user_id, (epoch(TIMESTAMP '2024-01-30 12:00:00')::BIGINT - epoch(date_trunc('second', max(ts)))::BIGINT) >= 14400 AS due FROM events GROUP BY user_id"""
+)
+def should_run_flags(spark, sf_dir):
+    last = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("last"))
+    return last.select("user_id", ledger.due(F.col("last"), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"), ledger.COMPACTION_INTERVAL).alias("due"))
+
+
+@query("SELECT (event_id % 3 + 9)::INT AS schema_id, count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset FROM events GROUP BY 1")
+def schema_version_split(spark, sf_dir):
+    message = F.concat(F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(F.col("event_id") % 3 + 9), 8, "0"))), F.lit("x").cast("binary"))
+    batch = table(spark, sf_dir, "events").select("event_id", change_values.schema_id(message).alias("schema_id"))
+    return batch.groupBy("schema_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_offset"), F.max("event_id").alias("last_offset"))
+
+
+@query("SELECT p_partkey, trim('  ' || p_name || ' ', ' ') AS p_name, trim(p_brand, ' ') AS p_brand, trim(p_type, ' ') AS p_type, p_size, p_retailprice FROM part")
+def trim_strings(spark, sf_dir):
+    padded = table(spark, sf_dir, "part").withColumn("p_name", F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
+    return cleansing.trim_strings(padded)
+
+
+@query("SELECT o_orderkey, o_orderdate AS last_applied_date, md5(o_orderkey::VARCHAR) AS id_iceberg FROM orders")
+def audit_rename(spark, sf_dir):
+    staged = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias(cleansing.AUDIT_BEFORE))
+    return cleansing.with_key(cleansing.renamed_audit(staged), ["o_orderkey"])
+
+
+@query(
+    """SELECT event_type, list_sort(list(value))[(floor(count(value) * 0.5))::INT + 1] AS p50, list_sort(list(value))[(floor(count(value) * 0.95))::INT + 1] AS p95
+FROM events WHERE value IS NOT NULL GROUP BY event_type"""
+)
+def index_percentiles(spark, sf_dir):
+    return reports.index_percentiles(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
+
+
+_CLASS = """CASE WHEN contains(t, 'merge into') THEN 'MERGE INTO' WHEN contains(t, 'delete from') THEN 'DELETE' WHEN contains(t, 'insert into') THEN 'INSERT INTO'
+    WHEN contains(t, 'create table') OR contains(t, 'create database') THEN 'DDL' WHEN contains(t, 'select') THEN 'SELECT' ELSE 'OTHER' END"""
+_STATEMENTS = "['MERGE INTO t USING s', 'select * from t', 'Insert into t select 1', 'delete from t', 'create table t as select 1', 'vacuum']"
+
+
+@query(
+    f"""WITH s AS (SELECT lower(({_STATEMENTS})[(event_id % 6)::INT + 1]) AS t, (event_id * 7919) % 10007 AS d FROM events), c AS (SELECT {_CLASS} AS sql_class, d FROM s)
+SELECT sql_class, count(*) AS n, avg(d) AS avg_ms, max(d) AS max_ms, sum(d)::BIGINT AS total_ms,
+    list_sort(list(d))[(floor(count(*) * 0.5))::INT + 1] AS p50_ms, list_sort(list(d))[(floor(count(*) * 0.95))::INT + 1] AS p95_ms FROM c GROUP BY 1"""
+)
+def sql_class_stats(spark, sf_dir):
+    texts = F.array(*[F.lit(x) for x in ("MERGE INTO t USING s", "select * from t", "Insert into t select 1", "delete from t", "create table t as select 1", "vacuum")])
+    runs = table(spark, sf_dir, "events").select(F.get(texts, (F.col("event_id") % 6).cast("int")).alias("t"), ((F.col("event_id") * 7919) % 10007).alias("d"))
+    return reports.class_stats(runs, "t", "d")
+
+
+@query(f"WITH s AS (SELECT doc_id, lower(text) AS t FROM documents) SELECT {_CLASS} AS sql_class, count(*) AS n FROM s GROUP BY 1")
+def sql_class_documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy(reports.statement_class(F.col("text")).alias("sql_class")).agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH g AS (SELECT l_suppkey, count(*) AS tasks, max(l_extendedprice) AS max_ms, list_sort(list(l_extendedprice))[(floor(count(*) * 0.5))::INT + 1] AS p50_ms FROM lineitem GROUP BY 1)
+SELECT l_suppkey, tasks, max_ms, p50_ms, max_ms / p50_ms AS ratio, max_ms > 10000 AS serious FROM g WHERE tasks >= 2 AND p50_ms > 0 AND max_ms / p50_ms > 2"""
+)
+def skew_groups(spark, sf_dir):
+    return reports.skewed_groups(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice", threshold=2.0)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 10")
+def top_slow(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return reports.slowest(rows, "l_extendedprice", ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT coalesce(nullif(event_type, 'error'), 'default') AS pool, count(*) AS jobs FROM events GROUP BY 1")
+def pool_counts(spark, sf_dir):
+    pool = F.coalesce(F.when(F.col("event_type") != "error", F.col("event_type")), F.lit("default"))
+    return table(spark, sf_dir, "events").groupBy(pool.alias("pool")).agg(F.count("*").alias("jobs"))
+
+
+@query("SELECT user_id, epoch_us(min(ts)) // 1000 AS start_ms, epoch_us(max(ts)) // 1000 AS end_ms, epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS duration_ms, count(*) AS jobs FROM events GROUP BY 1")
+def timeline(spark, sf_dir):
+    ms = F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp"))
+    spans = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min(ms).alias("start_ms"), F.max(ms).alias("end_ms"), F.count("*").alias("jobs"))
+    return spans.select("user_id", "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "jobs")
+
+
+@query(
+    """WITH s AS (SELECT user_id, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1), g AS (SELECT min(a) AS t0, max(b) AS t1 FROM s),
+p AS (SELECT unnest(generate_series(t0, t1 - 1, 100)) AS point FROM g) SELECT point, count(*) AS running FROM p JOIN s ON point BETWEEN a AND b GROUP BY 1"""
+)
+def concurrency(spark, sf_dir):
+    spans = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("a"), F.max("event_id").alias("b"))
+    return reports.concurrency(spans, "a", "b", 100)
+
+
+@query(
+    """WITH s AS (SELECT user_id, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1), g AS (SELECT min(a) AS t0, max(b) AS t1 FROM s),
+p AS (SELECT unnest(generate_series(t0, t1 - 1, 100)) AS point FROM g), c AS (SELECT point, count(*) AS n FROM p JOIN s ON point BETWEEN a AND b GROUP BY 1) SELECT max(n) AS max_running FROM c"""
+)
+def max_concurrency(spark, sf_dir):
+    return concurrency(spark, sf_dir).agg(F.max("running").alias("max_running"))
+
+
+def _tasks(spark, sf_dir):
+    q = F.col("l_quantity").cast("long")
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 7).alias("executor_id"), (q * 100).alias("duration"), (q * 80).alias("run_ms"), (q * 50).alias("cpu_ms"), (q % 5).alias("gc_ms"), (q % 3).alias("ser_ms"),
+        (q % 4).alias("deser_ms"), (q % 7).alias("fetch_wait_ms"), (q * 1000).alias("peak_memory"), (q % 2 * 10).alias("disk_spill"), (q % 2 * 20).alias("memory_spill"),
+        (q * 9).alias("input_bytes"), (q * 8).alias("shuffle_read"), (q * 7).alias("shuffle_write"),
+    )
+
+
+@query(
+    """WITH t AS (SELECT l_suppkey % 7 AS executor_id, l_quantity::BIGINT * 100 AS duration FROM lineitem), x AS (SELECT unnest(range(0, 8)) AS executor_id),
+b AS (SELECT executor_id, count(*) AS tasks, avg(duration) AS avg_ms, sum(duration)::BIGINT AS busy_ms FROM t GROUP BY 1),
+u AS (SELECT x.executor_id, 2 AS cores, coalesce(tasks, 0) AS tasks, avg_ms, coalesce(busy_ms, 0) AS busy_ms, 100.0::DOUBLE * coalesce(busy_ms, 0) / greatest(1, 20000000 * 2) AS utilisation_pct FROM x LEFT JOIN b USING (executor_id))
+SELECT *, CASE WHEN utilisation_pct < 30 THEN 'idle' WHEN utilisation_pct < 50 THEN 'low' WHEN utilisation_pct < 80 THEN 'good' ELSE 'busy' END AS verdict FROM u"""
+)
+def executor_utilisation(spark, sf_dir):
+    executors = spark.range(8).select(F.col("id").alias("executor_id"), F.lit(2).alias("cores"))
+    return reports.executor_use(_tasks(spark, sf_dir), executors, F.lit(20_000_000))
+
+
+@query(
+    """WITH q AS (SELECT l_quantity::BIGINT AS q FROM lineitem), s AS (SELECT sum(q * 100)::BIGINT AS duration, sum(q * 80)::BIGINT AS run_ms, sum(q * 50)::BIGINT AS cpu_ms, sum(q % 5)::BIGINT AS gc_ms,
+    sum(q % 3)::BIGINT AS ser_ms, sum(q % 4)::BIGINT AS deser_ms, sum(q % 7)::BIGINT AS fetch_wait_ms, count(*) AS tasks FROM q)
+SELECT *, greatest(0, duration - run_ms - gc_ms - ser_ms - deser_ms) AS other_ms, 100.0::DOUBLE * cpu_ms / run_ms AS cpu_pct, 100.0::DOUBLE * fetch_wait_ms / run_ms AS fetch_wait_pct,
+    100.0::DOUBLE * gc_ms / duration AS gc_pct, 'mixed' AS cpu_verdict, 'fine' AS fetch_verdict, 'fine' AS gc_verdict FROM s"""
+)
+def time_breakdown(spark, sf_dir):
+    return reports.time_breakdown(_tasks(spark, sf_dir))
+
+
+@query(
+    """WITH q AS (SELECT l_quantity::BIGINT AS q FROM lineitem), s AS (SELECT max(q * 1000) AS peak_memory, sum(q % 2 * 10)::BIGINT AS disk_spill, sum(q % 2 * 20)::BIGINT AS memory_spill, sum(q * 9)::BIGINT AS input_bytes,
+    sum(q * 8)::BIGINT AS shuffle_read, sum(q * 7)::BIGINT AS shuffle_write FROM q) SELECT *, 100.0::DOUBLE * peak_memory / 100000 AS peak_pct, CASE WHEN 100.0 * peak_memory / 100000 < 30 THEN 'spare' WHEN 100.0 * peak_memory / 100000 < 80 THEN 'good' ELSE 'tight' END AS verdict FROM s"""
+)
+def spill_ratios(spark, sf_dir):
+    return reports.memory_use(_tasks(spark, sf_dir), F.lit(100_000))
