@@ -111,7 +111,7 @@ def zone_shift(spark, sf_dir):
 
 @query(
     """
-WITH n AS (SELECT event_id, event_id % 20000 AS days, (event_id % 977) * 1750000123 AS ms, (event_id % 983) * 1740000123457 AS us, event_id % 86400000000 AS of_day FROM events)
+WITH n AS (SELECT event_id, event_id % 20000 AS days, CASE WHEN event_id % 977 = 0 THEN 0 ELSE 1500000000000 + (event_id % 977) * 100000123 END AS ms, CASE WHEN event_id % 983 = 0 THEN 0 ELSE 1500000000000000 + (event_id % 983) * 100000123457 END AS us, event_id % 86400000000 AS of_day FROM events)
 SELECT event_id, strftime(DATE '1970-01-01' + days::INT, '%Y-%m-%d') AS d, CASE WHEN ms <> 0 THEN ms * 1000 - 32400000000 END AS t_ms, CASE WHEN us <> 0 THEN us - 32400000000 END AS t_us, of_day AS t_day FROM n"""
 )
 def logical_type_casts(spark, sf_dir):
@@ -120,8 +120,8 @@ def logical_type_casts(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.date_format(change_values.logical_value((e % 20000).cast("int"), "io.debezium.time.Date"), "yyyy-MM-dd").alias("d"),
-        micros((e % 977) * F.lit(1750000123), "Timestamp").alias("t_ms"),
-        micros((e % 983) * F.lit(1740000123457), "MicroTimestamp").alias("t_us"),
+        micros(F.when(e % 977 == 0, 0).otherwise(F.lit(1500000000000) + (e % 977) * F.lit(100000123)), "Timestamp").alias("t_ms"),
+        micros(F.when(e % 983 == 0, 0).otherwise(F.lit(1500000000000000) + (e % 983) * F.lit(100000123457)), "MicroTimestamp").alias("t_us"),
         micros(e % F.lit(86400000000), "MicroTime").alias("t_day"),
     )
 
