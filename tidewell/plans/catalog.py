@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import change_values, cleansing
-from tidewell.operators import changes, ledger, reports
-from tidewell.sources import avro
+from tidewell.operators import changes, ledger, reports, validation
+from tidewell.operators.store import SnapshotStore
+from tidewell.scratch import scratch_path
+from tidewell.sources import avro, streams
+from tidewell.sources.registry import FixedRegistry
+from tidewell.streaming import change_batches, landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -313,3 +317,88 @@ def time_breakdown(spark, sf_dir):
 )
 def spill_ratios(spark, sf_dir):
     return reports.memory_use(_tasks(spark, sf_dir), F.lit(100_000))
+
+
+# a topic of the change log, with keys and envelopes as a connector writes them
+_KEY = {"type": "record", "name": "Key", "fields": [{"name": "user_id", "type": "long"}]}
+_ROW = {
+    "type": "record", "name": "Value",
+    "fields": [{"name": "user_id", "type": "long"}, {"name": "value", "type": ["null", "double"]}, {"name": "at", "type": [{"type": "long", "connect.name": "io.debezium.time.MicroTimestamp"}, "null"]}],
+}
+_ENVELOPE = {
+    "type": "record", "name": "Envelope",
+    "fields": [{"name": "before", "type": ["null", _ROW]}, {"name": "after", "type": ["null", "Value"]}, {"name": "op", "type": "string"}, {"name": "ts_ms", "type": ["null", "long"]}],
+}
+_REGISTRY = FixedRegistry({1: _KEY, 9: _ENVELOPE, 10: _ENVELOPE})
+_TOPIC = "source.store.users"
+
+
+def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log in Kafka's columns; its envelopes come in two schema versions."""
+    us = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp"))
+    row = F.struct("user_id", "value", us.alias("at"))
+    gone = F.col("op") == "d"
+    log = change_log(spark, sf_dir).select(
+        "user_id", F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), "op", F.floor(us / 1000).alias("ts_ms"), F.col("event_id").alias("offset"),
+        F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp").alias("timestamp"),
+    )
+    keyed = avro.encoded(log, _KEY, "k", keep=log.columns)
+    both = avro.encoded(keyed, _ENVELOPE, "v", keep=["k", "offset", "timestamp"])
+    head = lambda version: F.concat(F.unhex(F.lit("00")), F.unhex(F.lpad(F.hex(version), 8, "0")))
+    return both.select(
+        F.concat(head(F.lit(1)), "k").alias("key"), F.concat(head(F.col("offset") % 2 + 9), "v").alias("value"), F.lit(_TOPIC).alias("topic"), F.lit(0).alias("partition"), "offset", "timestamp"
+    )
+
+
+@query(
+    f"""WITH {_LOG} SELECT user_id, value, epoch_us(ts) - 32400000000 AS at_us, md5(user_id::VARCHAR) AS id_iceberg FROM latest WHERE op <> 'd'"""
+)
+def stream_drain_state(spark, sf_dir):
+    """The change log as files of a stream, drained into a mirror in four batches, read back."""
+    root = scratch_path(spark, "drain")
+    records = change_records(spark, sf_dir)
+    low, high = table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    edges = [low + (high + 1 - low) * i // 4 for i in range(5)]
+    for a, b in zip(edges, edges[1:], strict=False):  # one after the other, as a topic's offsets come
+        records.where((F.col("offset") >= a) & (F.col("offset") < b)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    sink = change_batches.ChangeSink(spark, SnapshotStore(spark, f"{root}/wh"), _REGISTRY, "catalog", "local")
+    sink.maintainer.ensure_ledgers()
+    mirror_ = sink.store.table("local_store.users")
+    mirror_.replace(spark.createDataFrame([], "user_id long, value double, at timestamp, last_applied_date timestamp, id_iceberg string"))
+    errors = change_batches.drain_topics(sink, {_TOPIC: lambda: streams.file_stream(spark, f"{root}/in", 1)}, f"{root}/checkpoint")
+    if errors:
+        raise errors[_TOPIC]
+    return mirror_.read().select("user_id", "value", F.unix_micros("at").alias("at_us"), "id_iceberg")
+
+
+@query("SELECT year(ts)::INT AS year, month(ts)::INT AS month, day(ts)::INT AS day, count(*) AS n, count(*) FILTER (event_type = 'error') AS deletes FROM events GROUP BY ALL")
+def landed_partitions(spark, sf_dir):
+    """The change log landed as date-partitioned Parquet, counted by its partitions."""
+    path = scratch_path(spark, "landed")
+    landing.land_batch(_REGISTRY, change_records(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("year", "month", "day").agg(F.count("*").alias("n"), F.count(F.when(F.col("op") == "d", 1)).alias("deletes"))
+
+
+@query(ORACLE_SQL["cdc_apply_state"])
+def snapshot_store_state(spark, sf_dir):
+    """The mirror as a stored table: replaced, changed in two commits, compacted, its old versions expired, read back."""
+    t = SnapshotStore(spark, scratch_path(spark, "store")).table("ns.mirror")
+    t.replace(mirror(spark, sf_dir))
+    latest = latest_changes(spark, sf_dir)
+    t.upsert(changes.upserts(latest), "id")
+    t.delete(changes.deletes(latest), "id")
+    t.compact()
+    t.expire(2**60)
+    return t.read()
+
+
+@query(
+    """SELECT * FROM (VALUES ('orders', 'count', NULL, '5', '6', false), ('orders', 'unreflected', 'O_CLERK', 'varchar(15)', NULL, false),
+('orders', 'order', NULL, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice', 'o_orderkey,o_custkey,o_orderstatus,o_totalprice', true),
+('orders', 'type', 'o_totalprice', 'decimal(15,2)', 'double', false), ('orders', 'nullability', 'o_orderkey', 'not null', 'null', false), ('orders', 'key', 'o_orderkey', NULL, NULL, false)
+) AS t(table_name, step, c3, source, mirror, ok)""".replace("SELECT * FROM", "SELECT table_name, step, CASE WHEN step = 'key' THEN NULL ELSE c3 END AS column_name, CASE WHEN step = 'key' THEN c3 ELSE source END AS source, mirror, ok FROM")
+)
+def column_diff(spark, sf_dir):
+    columns = {"o_orderkey": "bigint", "O_CUSTKEY": "bigint", "o_orderstatus": "char(1)", "o_totalprice": "decimal(15,2)", "O_CLERK": "varchar(15)"}
+    found = validation.findings("orders", "mysql", columns, {"o_orderkey": False}, ["o_orderkey"], table(spark, sf_dir, "orders").schema)
+    return validation.findings_frame(spark, found)

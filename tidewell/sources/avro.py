@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Reader = Callable[[bytes, int], tuple[Any, int]]
@@ -246,16 +247,20 @@ def decoded(df: DataFrame, column: str, schema: str | Mapping, into: str = "reco
     return df.select(*others, column).mapInArrow(decode, out)
 
 
-def encoded(df: DataFrame, schema: str | Mapping, into: str = "payload") -> DataFrame:
-    """One Avro value per row of a record schema's columns."""
+def encoded(df: DataFrame, schema: str | Mapping, into: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
+    """One Avro value per row of a record schema's columns, beside the columns to ``keep``."""
     source = schema_of(schema)
+    names = [f["name"] for f in source["fields"]]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         write = Codec(source).writer()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([write(row) for row in batch.to_pylist()], pa.binary())], [into])
+            values = [write(row) for row in batch.select(list(range(len(names)))).rename_columns(names).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[len(names) :], pa.array(values, pa.binary())], [*keep, into])
 
-    return df.select(*[f["name"] for f in source["fields"]]).mapInArrow(encode, f"{into} binary")
+    out = T.StructType([df.schema[c] for c in keep] + [T.StructField(into, T.BinaryType())])
+    kept = [F.col(c).alias(f"_kept_{c}") for c in keep]
+    return df.select(*names, *kept).mapInArrow(encode, out)
 
 
 def native_from_avro(column: Column, schema: str | Mapping) -> Column:
