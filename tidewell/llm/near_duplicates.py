@@ -36,11 +36,15 @@ WORDS = 5
 #: Shingles on the list of frequent ones, at most: a size bound for the broadcast, without effect on results.
 FREQUENT = 1 << 20
 #: Prefix entries in one bucket, about.
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 3_000_000
+#: Texts in a tile whose pairs are listed at once; in larger ones bitmaps decide first.
+SMALL_TILE = 16
 #: Smallest shingles by which stars are formed.
-STARS = 6
+STARS = 4
 #: Pairs held at once in a bucket.
-PAIRS = 1_000_000
+PAIRS = 250_000
+#: Bytes of text shingled at once, and words whose hashes are remembered.
+SHINGLE_BYTES, MEMO = 2 << 20, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _SLOTS = 1 << 20
 
@@ -62,7 +66,7 @@ class Shingler:
 
     def hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All shingles of ``texts`` one after the other, repeats included, and how many each text has."""
-        if len(self.words) > 1_000_000:
+        if len(self.words) > MEMO:
             self.words.clear()
         memo, flat, lengths = self.words, [], []
         for text in texts:
@@ -99,8 +103,8 @@ def prefix_length(n: int) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """At least four bits a shingle, a power of two in all, so that a larger bitmap folds to a smaller one's size."""
-    bits = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    """At least two bits a shingle, a power of two in all, so that a larger bitmap folds to a smaller one's size."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -156,7 +160,8 @@ def _frequent(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             texts = list(dict.fromkeys(text_bytes(batch.column(0))))
             for lo, hi in slices([len(t) for t in texts]):
-                keys, n = np.unique(shingler.hashes(texts[lo:hi])[0], return_counts=True)
+                parts = [texts[lo + a : lo + b] for a, b in slices([len(t) for t in texts[lo:hi]], SHINGLE_BYTES)]
+                keys, n = np.unique(np.concatenate([shingler.hashes(part)[0] for part in parts]), return_counts=True)
                 often = n >= 3
                 yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(n[often])], ["shingle", "n"])
 
@@ -165,7 +170,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     return np.sort(listed.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-SETS = "doc_id long, node binary, n long, common double, bitmap binary, prefix binary, smallest array<long>"
+SETS = "doc_id long, node binary, id long, n long, common double, bitmap binary, prefix binary, smallest array<long>"
 
 
 def _sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -180,7 +185,7 @@ def _sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         seen: dict[bytes, int] = {}
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
-            for lo, hi in slices([len(t) for t in texts]):
+            for lo, hi in slices([len(t) for t in texts], SHINGLE_BYTES):
                 nodes = [digest(t) for t in texts[lo:hi]]
                 new = {}
                 for i, node in enumerate(nodes):
@@ -202,7 +207,8 @@ def _sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 kinds = (pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
                 columns = zip(*(r or (None,) * 4 for r in rows), strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[lo:hi], pa.int64()), pa.array(nodes, pa.binary()), pa.array([seen[x] for x in nodes], pa.int64())]
+                    [pa.array(ids[lo:hi], pa.int64()), pa.array(nodes, pa.binary()), pa.array(np.frombuffer(b"".join(nodes), np.int64)[::2])]
+                    + [pa.array([seen[x] for x in nodes], pa.int64())]
                     + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                     [x.split()[0] for x in SETS.split(", ")],
                 )
@@ -272,148 +278,171 @@ def _star_pairs(nodes: DataFrame) -> DataFrame:
         .select(F.col("node").alias("a"), "b")
         .distinct()
     )
-    sign = nodes.select("node", "n", "bitmap")
-    x, y = (sign.select(F.col("node").alias(p), F.col("n").alias(f"n{p}"), F.col("bitmap").alias(f"bitmap{p}")) for p in ("a", "b"))
+    x, y = (nodes.select(F.col("node").alias(p), F.col("n").alias(f"n{p}"), F.col("bitmap").alias(f"bitmap{p}")) for p in ("a", "b"))
+    return _bounded(pairs.join(x, "a").join(y, "b"))
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            m = batch.num_rows
-            n = np.concatenate([batch.column(i).to_numpy() for i in (2, 3)])
-            signs = Bitmaps(batch.column(4).to_pylist() + batch.column(5).to_pylist(), n)
-            keep = pa.array(signs.may_link(np.arange(m), np.arange(m, 2 * m)))
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
 
-    fit = pairs.join(x, "a").join(y, "b").where("5 * least(na, nb) >= 4 * greatest(na, nb)")
-    return fit.select("a", "b", "na", "nb", "bitmapa", "bitmapb").mapInArrow(bounded, LINKS)
+PACKED = "bucket int, keys binary, owners binary, ids binary, sizes binary"
+TILES = "bucket int, left binary, right binary, ids binary, lengths binary, members binary"
 
 
-PACKED = "bucket int, entries long, keys binary, owners binary, nodes binary"
-TILES = "bucket int, nodes binary, lengths binary, members binary"
+def _meetings(tile: np.ndarray, member: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of ``member`` (numbers that go up with the sizes ``n``) in each tile whose sizes let them link, in
+    batches of about PAIRS."""
+    wide = int(n.max()) + 1
+    size = n[member]
+    # in its tile a member meets those after it, up to the end of its size band
+    last = np.searchsorted(tile * wide + size, tile * wide + np.minimum(size * 5 // 4, wide - 1), side="right")
+    meets = last - np.arange(len(member)) - 1
+    done = np.cumsum(meets)
+    at = 0
+    while at < len(member):
+        end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + PAIRS, side="right")))
+        k = meets[at:end]
+        i = np.repeat(np.arange(at, end), k)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+        yield member[i], member[j]
+        at = end
 
 
 def _tiles(sets: DataFrame, buckets: int) -> DataFrame:
-    """By bucket, the tiles of two texts or more: their lengths, and their members as numbers into the bucket's nodes."""
+    """By bucket, the pairs of its small tiles (as two arrays of ids), and its large tiles: their lengths, and their
+    members as numbers into an array of ids."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            nodes = np.array(batch.column(0).to_pylist(), "V16")
-            prefixes = batch.column(1).to_pylist()
+            ids, sizes = (batch.column(i).to_numpy() for i in (0, 1))
+            prefixes = batch.column(2).to_pylist()
             keys = np.frombuffer(b"".join(prefixes), np.uint64)
-            owner = np.repeat(np.arange(len(nodes)), [len(p) // 8 for p in prefixes])
+            owner = np.repeat(np.arange(len(ids)), [len(p) // 8 for p in prefixes])
             bucket = (mix64(keys) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(ends)).tolist():
                 own = order[ends[b] : ends[b + 1]]
                 used, number = np.unique(owner[own], return_inverse=True)
+                data = (keys[own], number.astype(np.int32), ids[used], sizes[used].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([b], pa.int32()), pa.array([len(own)], pa.int64()), pa.array([keys[own].tobytes()], pa.binary()),
-                        pa.array([number.astype(np.int32).tobytes()], pa.binary()), pa.array([nodes[used].tobytes()], pa.binary()),
-                    ],
-                    [x.split()[0] for x in PACKED.split(", ")],
-                )
+                    [pa.array([b], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in data)], [x.split()[0] for x in PACKED.split(", ")]
+                )
 
     def tile(group: pd.DataFrame) -> pd.DataFrame:
-        tables = [np.frombuffer(x, "V16") for x in group["nodes"]]
+        tables = [np.frombuffer(x, np.int64) for x in group["ids"]]
         shift = np.cumsum([0, *map(len, tables)])
         keys = np.concatenate([np.frombuffer(x, np.uint64) for x in group["keys"]])
         owner = np.concatenate([np.frombuffer(x, np.int32) + s for x, s in zip(group["owners"], shift, strict=False)])
-        nodes, number = _distinct(np.concatenate(tables))
+        sizes = np.concatenate([np.frombuffer(x, np.int32) for x in group["sizes"]]).astype(np.int64)
+        table = np.concatenate(tables)
+        # number texts by size, copies of one text in several tasks alike
+        by_size = np.lexsort((table, sizes))
+        new = np.append(True, (table[by_size][1:] != table[by_size][:-1]) | (sizes[by_size][1:] != sizes[by_size][:-1]))
+        number = np.empty(len(table), np.int64)
+        number[by_size] = np.cumsum(new) - 1
+        ids, n = table[by_size[new]], sizes[by_size[new]]
         owner = number[owner]
         order = np.lexsort((owner, keys))
         keys, owner = keys[order], owner[order]
-        fresh = np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))  # copies of one text in several tasks
+        fresh = np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))
         keys, owner = keys[fresh], owner[fresh]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         lengths = np.diff(np.append(first, len(keys)))
-        several = lengths > 1
-        members = owner[np.repeat(several, lengths)]
-        used, members = np.unique(members, return_inverse=True)
-        row = (int(group["bucket"].iloc[0]), nodes[used].tobytes(), lengths[several].astype(np.int32).tobytes(), members.astype(np.int32).tobytes())
-        return pd.DataFrame([row] if len(used) else [], columns=["bucket", "nodes", "lengths", "members"])
-
-    rows = sets.where("prefix is not null").select("node", "prefix").mapInArrow(pack, PACKED)
+        small, large = (lengths > 1) & (lengths <= SMALL_TILE), lengths > SMALL_TILE
+        pairs = np.zeros(0, np.int64)
+        if small.any():
+            inside = np.repeat(small, lengths)
+            found = [np.unique(a * len(ids) + b) for a, b in _meetings(np.repeat(np.arange(len(lengths)), lengths)[inside], owner[inside], n)]
+            pairs = np.unique(np.concatenate(found))
+        used, members = np.unique(owner[np.repeat(large, lengths)], return_inverse=True)
+        arrays = (ids[pairs // len(ids)], ids[pairs % len(ids)], ids[used], lengths[large].astype(np.int32), members.astype(np.int32))
+        return pd.DataFrame([(int(group["bucket"].iloc[0]), *(x.tobytes() for x in arrays))], columns=[x.split()[0] for x in TILES.split(", ")])
+
+    rows = sets.where("prefix is not null").select("id", "n", "prefix").mapInArrow(pack, PACKED)
     return rows.groupBy("bucket").applyInPandas(tile, TILES)
 
 
-def _distinct(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct 16-byte values and each one's number."""
-    halves = nodes.view(np.uint64).reshape(-1, 2)
-    order = np.lexsort((halves[:, 1], halves[:, 0]))
-    new = np.append(True, (halves[order][1:] != halves[order][:-1]).any(axis=1))
-    number = np.empty(len(nodes), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return nodes[order[new]], number
+def _bounded(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b, na, nb, bitmapa, bitmapb), those that sizes and bitmaps let link."""
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                m = part.num_rows
+                n = np.concatenate([part.column(i).to_numpy() for i in (2, 3)])
+                signs = Bitmaps(part.column(4).to_pylist() + part.column(5).to_pylist(), n)
+                keep = pa.array(signs.may_link(np.arange(m), np.arange(m, 2 * m)))
+                yield pa.RecordBatch.from_arrays([part.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
+
+    fit = pairs.where("5 * least(na, nb) >= 4 * greatest(na, nb)")
+    return fit.select("a", "b", "na", "nb", "bitmapa", "bitmapb").mapInArrow(bounded, LINKS)
 
 
 def _tile_pairs(tiles: DataFrame, nodes: DataFrame, stars: DataFrame) -> DataFrame:
     """Pairs of texts in different star components that meet in a tile, fit in size and whose bitmaps let them link."""
+    known = nodes.join(stars.select(F.col("vertex").alias("node"), "component"), "node", "left")
+    known = stash(known.select("id", "node", "n", F.coalesce("component", "node").alias("component")), "near-known")
+    signs = nodes.select("id", "bitmap")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
+                for at in range(0, len(a), 65_536):
+                    yield pa.RecordBatch.from_arrays([pa.array(a[at : at + 65_536]), pa.array(b[at : at + 65_536])], ["ia", "ib"])
+
+    def side(p: str) -> DataFrame:
+        return known.select(F.col("id").alias(f"i{p}"), F.col("node").alias(p), F.col("n").alias(f"n{p}"), F.col("component").alias(f"c{p}"))
+
+    small = tiles.select("left", "right").mapInArrow(listed, "ia long, ib long").distinct()
+    small = small.join(side("a"), "ia").join(side("b"), "ib").where("ca <> cb and a <> b and 5 * least(na, nb) >= 4 * greatest(na, nb)").drop("ca", "cb")
+    for p in ("a", "b"):  # bitmaps last, for what is left
+        small = small.join(signs.select(F.col("id").alias(f"i{p}"), F.col("bitmap").alias(f"bitmap{p}")), f"i{p}")
+    small = _bounded(small)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = [data[i : i + 16] for i in range(0, len(data), 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(own), pa.int32()), pa.array(own, pa.binary())], ["bucket", "node"])
-
-    asked = tiles.select("bucket", "nodes").mapInArrow(members, "bucket int, node binary")
-    known = nodes.select("node", "n", "bitmap").join(stars.select(F.col("vertex").alias("node"), "component"), "node", "left")
-    known = asked.join(known.select("node", "n", "bitmap", F.coalesce("component", "node").alias("component")), "node")
+                own = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(own), pa.int32()), pa.array(own)], ["bucket", "id"])
 
     def pairs(own: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[bytes, bytes]] = []
-        if len(own):
-            texts = texts.sort_values(["n", "node"], ignore_index=True)  # numbers go up with sizes
-            number = {x: i for i, x in enumerate(texts["node"])}
-            data = own["nodes"].iloc[0]
-            place = np.array([number[data[i : i + 16]] for i in range(0, len(data), 16)], np.int64)
-            n = texts["n"].to_numpy(np.int64)
-            component = pd.factorize(texts["component"])[0]
-            lengths = np.frombuffer(own["lengths"].iloc[0], np.int32).astype(np.int64)
-            member = place[np.frombuffer(own["members"].iloc[0], np.int32)]
-            tile = np.repeat(np.arange(len(lengths)), lengths)
-            first = np.cumsum(lengths) - lengths
-            low, high = np.minimum.reduceat(component[member], first), np.maximum.reduceat(component[member], first)
-            mixed = np.repeat(low != high, lengths)
-            tile, member = tile[mixed], member[mixed]
-            order = np.lexsort((member, tile))
-            tile, member = tile[order], member[order]
-            # in its tile a member meets those after it, up to the end of its size band
-            wide = int(n.max()) + 1
-            size = n[member]
-            last = np.searchsorted(tile * wide + size, tile * wide + np.minimum(size * 5 // 4, wide - 1), side="right")
-            meets = last - np.arange(len(member)) - 1
-            signs = Bitmaps(texts["bitmap"].tolist(), n)
-            done = np.cumsum(meets)
-            at, kept = 0, np.zeros(0, np.int64)
-            while at < len(member):
-                end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + PAIRS, side="right")))
-                k = meets[at:end]
-                i = np.repeat(np.arange(at, end), k)
-                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
-                a, b = member[i], member[j]
-                apart = component[a] != component[b]
-                pair = np.unique(a[apart] * len(n) + b[apart])
-                pair = pair[~np.isin(pair, kept)]
-                good = pair[signs.may_link(pair // len(n), pair % len(n))]
-                kept = np.union1d(kept, good)
-                at = end
-            names = texts["node"].to_numpy()
-            found = list(zip(names[kept // len(n)], names[kept % len(n)], strict=True))
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return tiles.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(pairs, LINKS).distinct()
+        if not len(own) or not len(texts):
+            return pd.DataFrame([], columns=["a", "b"])
+        texts = texts.sort_values(["n", "node"], ignore_index=True)
+        number = {x: i for i, x in enumerate(texts["id"].tolist())}
+        place = np.array([number[x] for x in np.frombuffer(own["ids"].iloc[0], np.int64).tolist()], np.int64)
+        n = texts["n"].to_numpy(np.int64)
+        component = pd.factorize(texts["component"])[0]
+        lengths = np.frombuffer(own["lengths"].iloc[0], np.int32).astype(np.int64)
+        member = place[np.frombuffer(own["members"].iloc[0], np.int32)]
+        first = np.cumsum(lengths) - lengths
+        mixed = np.repeat(np.minimum.reduceat(component[member], first) != np.maximum.reduceat(component[member], first), lengths)
+        tile, member = np.repeat(np.arange(len(lengths)), lengths)[mixed], member[mixed]
+        order = np.lexsort((member, tile))
+        tile, member = tile[order], member[order]
+        signs = Bitmaps(texts["bitmap"].tolist(), n)
+        kept = np.zeros(0, np.int64)
+        for a, b in _meetings(tile, member, n) if len(member) else ():
+            apart = component[a] != component[b]
+            pair = np.unique(a[apart] * len(n) + b[apart])
+            pair = pair[~np.isin(pair, kept)]
+            kept = np.union1d(kept, pair[signs.may_link(pair // len(n), pair % len(n))])
+        names = texts["node"].to_numpy()
+        return pd.DataFrame({"a": names[kept // len(n)], "b": names[kept % len(n)]})
+
+    big = tiles.where("length(ids) > 0").select("bucket", "ids", "lengths", "members")
+    asked = big.select("bucket", "ids").mapInArrow(members, "bucket int, id long")
+    large = big.groupBy("bucket").cogroup(asked.join(known, "id").join(signs, "id").groupBy("bucket")).applyInPandas(pairs, LINKS)
+    return small.unionByName(large).distinct()
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row's (doc_id, node, n), and those of rows with words with their component (a node)."""
     sets = stash(_sets(docs, _frequent(docs)), "near-sets")
     nodes = stash(
-        sets.where("n > 0 and bitmap is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "common", "bitmap", "smallest")]),
+        sets.where("n > 0 and bitmap is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("id", "n", "common", "bitmap", "smallest")]),
         "near-nodes",
     )
     entries = sets.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
