@@ -57,7 +57,7 @@ def sainte_lague(shares: Sequence[float], seats: int, limits: Sequence[int] | No
             low = mid
         else:
             high = mid
-    held = dealt(high)
+    held = dealt(high * (1 + 1e-9))  # seats that tie go through the heap
     heap = [(-s / (2 * k + 1), i) for i, (s, k, c) in enumerate(zip(shares, held, caps, strict=True)) if s > 0 and k < c]
     heapq.heapify(heap)
     for _ in range(seats - sum(held)):
@@ -91,7 +91,7 @@ def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens:
     def quotas(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("skey")
         wish = [rate[k] * s for k, s in zip(part.skey, part.shard_size, strict=True)]
-        limits = [cap * -(-int(s) // block_tokens) for s in part.shard_size]
+        limits = [-(-cap * int(s) // block_tokens) for s in part.shard_size]
         return part.assign(quota=sainte_lague(wish, round(sum(wish) / block_tokens), limits))
 
     shard = F.pmod(F.col("draw"), F.lit(shards))
@@ -112,16 +112,16 @@ def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens:
         .join(per_shard, ["shard", "skey"])
         .withColumn("end", F.sum("size").over(upto))
         .withColumn("begin", F.col("end") - F.col("size"))
-        .withColumn("blocks", F.greatest(F.ceil(st / b), F.lit(1)))
-        .withColumn("whole", F.least(F.lit(cap), F.floor(q / F.col("blocks"))))
-        .withColumn("rest", F.when(F.col("whole") < cap, q - F.col("whole") * F.col("blocks")).otherwise(0))
-        .withColumn("first", F.pmod(F.xxhash64("shard", "skey", F.lit(seed)), F.col("blocks")))
+        .withColumn("given", F.least(q * b, F.lit(cap) * st))  # the last block may be short
+        .withColumn("whole", F.floor(F.col("given") / F.greatest(st, F.lit(1))))
+        .withColumn("first", F.pmod(F.xxhash64("shard", "skey", F.lit(seed)), F.greatest(F.ceil(st / b), F.lit(1))) * b)
+        .withColumn("last", F.col("first") + F.col("given") - F.col("whole") * st)
     )
 
     def overlap(lo, hi):
         return F.greatest(F.lit(0), F.least(F.col("end"), hi) - F.greatest(F.col("begin"), lo))
 
-    run = overlap(F.col("first") * b, (F.col("first") + F.col("rest")) * b) + overlap(F.lit(0), (F.col("first") + F.col("rest") - F.col("blocks")) * b)
+    run = overlap(F.col("first"), F.col("last")) + overlap(F.lit(0), F.col("last") - st)
     laid = laid.withColumn("taken", (F.col("whole") * F.col("size") + run).cast("long"))
     return laid.join(F.broadcast(by_source) if len(found) <= 10_000 else by_source, "skey")
 
@@ -133,9 +133,9 @@ def mix_sources(
 
     Sources in code-point order (null last) have the repeated ``weights``; targets share all words and stop at ``cap``
     times a source's words.  Rows are dealt to shards of about ``rows_per_shard`` by a seeded hash.  In each shard the
-    sources get integer quotas of ``block_tokens``-word blocks by Sainte-Lague; a source's quota takes all its blocks as
-    often as it goes, and the rest as a seeded run of blocks over its rows in seeded order.  A row's words are those of
-    its blocks.
+    sources get integer quotas of ``block_tokens``-word blocks by Sainte-Lague; a source's quota takes all its words as
+    often as it goes, and the rest as a run of blocks from a seeded one on, over its rows in seeded order.  A row's words
+    are those of its blocks.
 
     Returns doc_id, source, size, source_size, target, taken.  Null text: size 0, taken 0.  Repeated rows and doc_ids
     count each for itself; ties in the seeded order are between rows that are alike in id and size.  An empty table gives
