@@ -1,10 +1,7 @@
-"""Helpers that the training-data operators share: scratch tables, byte-level tokenising and 64-bit hashing in numpy."""
+"""Helpers that the training-data operators share: byte-level tokenising and 64-bit hashing in numpy."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.scratch import scratch_path, stash  # noqa: F401  operators take them from here
+
 #: Bytes of text that a Python worker holds tokenised at once.
 SLICE_BYTES = 8 << 20
 
@@ -23,40 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir``; where that is unset, a temporary folder in local mode
-    and the (shared) warehouse on a cluster."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith(("local[", "local")) and not spark.sparkContext.master.startswith("local-cluster"):
-        return "file://" + tempfile.gettempdir() + "/tidewell-scratch"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below :func:`scratch_root`, removed when the driver's Python ends."""
-    path = f"{scratch_root(spark)}/tidewell/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
-
-    def remove() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the JVM may be gone already; the folder is scratch space
-            pass
-
-    atexit.register(remove)
-    return path
-
-
-def stash(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` as Parquet to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value, null as empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
@@ -74,6 +39,13 @@ def slices(lengths: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """:func:`slices` of a column of texts, with their UTF-8 bytes (null as empty); only one slice's are held."""
+    data = pc.fill_null(column.cast(pa.binary()), b"")
+    for lo, hi in slices(pc.binary_length(data).to_pylist(), limit):
+        yield lo, hi, data.slice(lo, hi - lo).to_pylist()
+
+
 def lowered_words(data: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; the whitespace of ``bytes.split`` is exactly that class."""
     return data.lower().split()
@@ -90,10 +62,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def packed(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
-
-
 def doc_fold(doc_id: str, modulus: int):
     """crc32 of the id's text modulo ``modulus``; a null id counts as empty text (remainder 0)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import doc_fold, lowered_words, mix64, slices, stash, text_bytes
+from tidewell.llm.common import doc_fold, lowered_words, mix64, stash, text_slices
 
 #: Bytes of text in one chunk, at most (a longer text is a chunk of its own).
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: Distinct n-grams that a bucket is asked for, about.
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 700_000
 #: The end of a text; no word holds a line break.
 END = b"\n"
 TESTED, DELETED, RETAINED = 0, 1, 2
@@ -60,13 +60,13 @@ def _chunks(docs: DataFrame, folds: int) -> DataFrame:
             parts = batch.column(2).to_numpy(zero_copy_only=False)
             for p in np.unique(parts):
                 own = batch.filter(pa.array(parts == p))
-                ids, texts = own.column(0).to_pylist(), text_bytes(own.column(1))
-                for lo, hi in slices([len(t) for t in texts], CHUNK_BYTES):
+                ids = own.column(0).to_pylist()
+                for lo, hi, texts in text_slices(own.column(1), CHUNK_BYTES):
                     numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
                     end = numbers[END]
                     flat: list[int] = []
                     lengths = []
-                    for text in texts[lo:hi]:
+                    for text in texts:
                         words = lowered_words(text)
                         flat.extend(map(numbers.__getitem__, words))
                         flat.append(end)
@@ -97,19 +97,30 @@ class _Grams:
 
     def __init__(self, row: dict, buckets: int) -> None:
         hashes = _unpack(row["hashes"], np.uint64, row["n_words"])
-        self.tokens = _unpack(row["tokens"], np.uint32, row["n_tokens"]).astype(np.int64)
+        self.tokens = _unpack(row["tokens"], np.uint32, row["n_tokens"])
         self.n_words = len(hashes)
-        context = np.empty_like(self.tokens)  # the end of a text is what stands before the next one
-        context[0], context[1:] = 0, self.tokens[:-1]
-        pairs, self.pair_of = np.unique(context * self.n_words + self.tokens, return_inverse=True)
-        self.context, self.word = pairs // self.n_words, pairs % self.n_words
-        keys = np.concatenate([mix64(hashes), mix64(mix64(hashes)[self.context] * np.uint64(0x9E3779B97F4A7C15) + hashes[self.word])])
-        self.bucket = (keys % np.uint64(buckets)).astype(np.int64)
-        self.order = np.argsort(self.bucket, kind="stable")
+        codes = np.empty(len(self.tokens), np.int64)  # the end of a text is what stands before the next one
+        codes[0], codes[1:] = 0, self.tokens[:-1]
+        codes *= self.n_words
+        codes += self.tokens
+        pairs, pair_of = np.unique(codes, return_inverse=True)
+        del codes
+        self.pair_of = pair_of.astype(np.int32)
+        del pair_of
+        self.context, self.word = (pairs // self.n_words).astype(np.int32), (pairs % self.n_words).astype(np.int32)
+        del pairs
+        keys = mix64(hashes)[self.context]
+        keys *= np.uint64(0x9E3779B97F4A7C15)
+        keys += hashes[self.word]
+        keys = np.concatenate([mix64(hashes), mix64(keys)])
+        bucket = (keys % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+        self.order = np.argsort(bucket, kind="stable").astype(np.int32)
+        self.ends = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+        del bucket
         self.keys = keys[self.order]
-        self.n = np.concatenate([np.bincount(self.tokens, minlength=self.n_words), np.bincount(self.pair_of, minlength=len(pairs))])
-        self.is_word = np.arange(len(keys))[self.order] < self.n_words
-        self.ends = np.searchsorted(self.bucket[self.order], np.arange(buckets + 1))
+        del keys
+        self.n = np.concatenate([np.bincount(self.tokens, minlength=self.n_words), np.bincount(self.pair_of, minlength=len(self.context))])
+        self.is_word = self.order < self.n_words
 
     def answered(self, rows: pd.DataFrame, column: str) -> tuple[np.ndarray, np.ndarray]:
         """Global counts of the words and of the pairs."""
@@ -127,7 +138,8 @@ ANSWERS = "chunk long, bucket int, part int, n_all binary, n_deleted binary, dis
 def _ask(chunks: DataFrame, buckets: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 grams = _Grams(row, buckets)
                 held = grams.n[grams.order]
                 out = []
