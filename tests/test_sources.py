@@ -73,6 +73,11 @@ def test_catalog_tables(spark, tmp_path):
     spark.range(4).selectExpr("id", "cast(id % 2 AS string) AS day").write.partitionBy("day").parquet(f"{tmp_path}/ext")
     tables.create_external(spark, "new_ns.ext", f"{tmp_path}/ext", "id long, day string", ["day"])
     assert spark.table("new_ns.ext").where("day = '1'").count() == 2
+    seen = tables.inspect(spark, "new_ns.ext")
+    assert {r[0] for r in seen["partitions"].collect()} == {"day=0", "day=1"} and "partitions" not in tables.inspect(spark, "new_ns.t")
+    assert "CREATE TABLE" in seen["create"].first()[0]
+    spark.sql("CREATE VIEW new_ns.v AS SELECT 1 AS one")
+    assert tables.views(spark, "new_ns") == ["v"]
     spark.sql("DROP DATABASE new_ns CASCADE")
 
 
@@ -137,3 +142,13 @@ def test_catalog_options():
     with pytest.raises(ValueError, match="POLARIS"):
         session.catalog_options(Settings(storage={"catalog": "c", "catalog_type": "polaris"}))
     assert session.catalog_options(Settings()) == {}
+
+
+def test_texts_of_figures(spark):
+    from pyspark.sql import functions as F
+
+    from tidewell.operators import reports
+
+    ms = [reports.duration_text(F.lit(n)) for n in (5, 1500, 90_000, 7_200_000)]
+    size = [reports.bytes_text(F.lit(n)) for n in (7, 2048, 5 * 1024**2, 3 * 1024**3)]
+    assert tuple(spark.range(1).select(*ms, *size, reports.clock_text(F.lit(3_661_000))).first()) == ("5ms", "1.5s", "1.5m", "2.0h", "7B", "2.0KB", "5.0MB", "3.00GB", "01:01:01")

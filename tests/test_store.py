@@ -98,3 +98,25 @@ def test_statements():
     assert iceberg.procedure_sql("c", "remove_orphan_files", "n.t", older_than="x") == "CALL c.system.remove_orphan_files(table => 'n.t', older_than => x)"
     with pytest.raises(ValueError, match="identifier"):
         iceberg.merge_sql("n.t; drop", "s", ["id"])
+
+
+def test_a_mix_of_changes_against_a_dict(spark, store):
+    from tidewell.operators import changes
+    from tidewell.sources.generator import change_mix
+
+    t = store.table("ns.mix")
+    t.replace(spark.range(50).selectExpr("id", "cast(0 AS double) AS amount", "'base' AS note"))
+    want = {i: (0.0, "base") for i in range(50)}
+    for step in range(3):
+        mix = change_mix(spark, 200, 50, seed=step, first_offset=step * 200)
+        again = change_mix(spark, 200, 50, seed=step, first_offset=step * 200).repartition(3)
+        rows = sorted(map(tuple, mix.collect()))
+        assert rows == sorted(map(tuple, again.collect()))
+        for _, key, op, amount, note in rows:
+            if op == "d":
+                want.pop(key, None)
+            else:
+                want[key] = (amount, note)
+        latest = changes.latest_per_key(mix, "id", "offset").drop("offset")
+        t.apply_changes(latest, "id")
+    assert {r.id: (r.amount, r.note) for r in t.read().collect()} == want

@@ -115,3 +115,17 @@ def test_start_offsets():
     assert json.loads(streams.start_offsets(pack({"t": '{"t": {"0": 100}}'}), "t")) == want
     assert streams.start_offsets(pack({"t": "latest"}), "t") == "latest"
     assert streams.start_offsets(pack({}), "t") is None and streams.start_offsets(None, "t") is None
+
+
+def test_listener_stops_queries(spark, tmp_path):
+    signal = signals.StopSignal(spark, f"file://{tmp_path}/signal", "dag")
+    listener = signals.StopListener(spark, signal)
+    spark.streams.addListener(listener)
+    try:
+        query = spark.readStream.format("rate").load().writeStream.format("noop").trigger(processingTime="200 milliseconds").start()
+        assert not query.awaitTermination(2)
+        signal.give()
+        assert query.awaitTermination(60)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.progress

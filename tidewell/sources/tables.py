@@ -63,3 +63,15 @@ def rename_namespace(spark: SparkSession, old: str, new: str, tables: Sequence[s
     if not spark.catalog.listTables(old):
         run(f"DROP DATABASE {old}")
     return done
+
+
+def inspect(spark: SparkSession, table: str) -> dict[str, DataFrame]:
+    """What the catalog says about a table: its statement, properties and, where it has them, partitions."""
+    found = {"create": spark.sql(f"SHOW CREATE TABLE {table}"), "properties": spark.sql(f"SHOW TBLPROPERTIES {table}")}
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        found["partitions"] = spark.sql(f"SHOW PARTITIONS {table}")
+    return found
+
+
+def views(spark: SparkSession, schema: str) -> list[str]:
+    return [r["viewName"] for r in spark.sql(f"SHOW VIEWS IN `{checked(schema)}`").collect()]
