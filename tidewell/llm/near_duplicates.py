@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import lowered_words, mix64, slices, stash, text_bytes
+from tidewell.llm.common import lowered_words, mix64, slices, stash, text_slices
 from tidewell.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -158,9 +158,9 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            texts = list(dict.fromkeys(text_bytes(batch.column(0))))
-            for lo, hi in slices([len(t) for t in texts]):
-                parts = [texts[lo + a : lo + b] for a, b in slices([len(t) for t in texts[lo:hi]], SHINGLE_BYTES)]
+            for _, _, texts in text_slices(batch.column(0)):
+                texts = list(dict.fromkeys(texts))  # copies in a slice count once
+                parts = [texts[a:b] for a, b in slices([len(t) for t in texts], SHINGLE_BYTES)]
                 keys, n = np.unique(np.concatenate([shingler.hashes(part)[0] for part in parts]), return_counts=True)
                 often = n >= 3
                 yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(n[often])], ["shingle", "n"])
@@ -184,15 +184,15 @@ def _sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         shingler = Shingler()
         seen: dict[bytes, int] = {}
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
-            for lo, hi in slices([len(t) for t in texts], SHINGLE_BYTES):
-                nodes = [digest(t) for t in texts[lo:hi]]
+            ids = batch.column(0).to_pylist()
+            for lo, hi, texts in text_slices(batch.column(1), SHINGLE_BYTES):
+                nodes = [digest(t) for t in texts]
                 new = {}
                 for i, node in enumerate(nodes):
                     if node not in seen:
                         new.setdefault(node, i)
                 rows: list[tuple] = [()] * (hi - lo)
-                for (node, i), s in zip(new.items(), shingler.sets([texts[lo + i] for i in new.values()]), strict=True):
+                for (node, i), s in zip(new.items(), shingler.sets([texts[i] for i in new.values()]), strict=True):
                     seen[node] = len(s)
                     if not len(s):
                         rows[i] = (0.0, None, None, None)
@@ -236,11 +236,12 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         seen: set[bytes] = set()
         for batch in batches:
             out: dict[bytes, bytes] = {}
-            for text in text_bytes(batch.column(0)):
-                node = digest(text)
-                if wanted[int.from_bytes(node[:3], "big") >> 4] and node not in seen:
-                    seen.add(node)
-                    out[node] = len(text).to_bytes(8, "big") + pa.compress(text, codec="zstd", asbytes=True)
+            for _, _, texts in text_slices(batch.column(0)):
+                for text in texts:
+                    node = digest(text)
+                    if wanted[int.from_bytes(node[:3], "big") >> 4] and node not in seen:
+                        seen.add(node)
+                        out[node] = len(text).to_bytes(8, "big") + pa.compress(text, codec="zstd", asbytes=True)
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["node", "text"])
 
     texts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(read, "node binary, text binary")
