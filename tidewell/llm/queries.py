@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import archives, licenses
+from tidewell.llm import archives, licenses, oracles
 from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.language_model import score_documents
@@ -80,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op5_decontamination": oracles.CONTAMINATION,
     "op6_warc": archives.ORACLE_SQL,
     "op9_licenses": licenses.oracle(),
 }
