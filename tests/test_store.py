@@ -31,6 +31,15 @@ def test_versions(spark, store):
     assert sorted(map(tuple, t.read().collect())) == [(2, "B"), (4, "d"), (9, "n")]
 
 
+def test_update(spark, store):
+    from pyspark.sql import functions as F
+
+    t = store.table("ns.t")
+    t.replace(rows(spark, (1, "old"), (2, None), (3, "x")))
+    t.update(F.col("v") == "old", v=F.lit("new"))
+    assert sorted(map(tuple, t.read().collect()), key=repr) == [(1, "new"), (2, None), (3, "x")]
+
+
 def test_a_faster_writer_wins(spark, store):
     t = store.table("ns.t")
     t.replace(rows(spark, (1, "a")))

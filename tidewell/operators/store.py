@@ -13,7 +13,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import changes as change_ops
@@ -119,6 +120,11 @@ class SnapshotTable:
     def delete(self, gone: DataFrame, *key: str) -> Version:
         return self.rewrite(lambda t: change_ops.deleted(t, gone, *key), "delete")
 
+    def update(self, condition: Column, **values: Column) -> Version:
+        """Set columns where ``condition`` holds (a null condition doesn't)."""
+        hit = F.coalesce(condition, F.lit(False))
+        return self.rewrite(lambda t: t.select(*[F.when(hit, values[c]).otherwise(t[c]).alias(c) if c in values else t[c] for c in t.columns]), "update")
+
     def with_properties(self, **properties: str) -> Version:
         v = self.version()
         return self._commit(v.number + 1, v.parts, v.schema, "properties", {**v.properties, **properties})
