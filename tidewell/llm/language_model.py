@@ -239,7 +239,7 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
         return spark.createDataFrame([], result)
     n_all, n_retained = sizes.get(RETAINED, 0) + sizes.get(DELETED, 0), sizes.get(RETAINED, 0)
     buckets = max(1, -(-sum(sizes.values()) // BUCKET_ENTRIES))
-    answers = stash(_ask(chunks, buckets).groupBy("bucket").applyInPandas(_answer, ANSWERS), "lm-answers", codec="uncompressed")
+    answers = stash(_ask(chunks, buckets).groupBy("bucket").applyInPandas(_answer, ANSWERS), "lm-answers", codec="uncompressed", files_per_core=4)
     vocabulary = answers.agg(F.sum("distinct")).first()[0]
     uniform = 1.0 / (vocabulary + 1)
 

@@ -383,7 +383,7 @@ def _bounded(pairs: DataFrame) -> DataFrame:
 def _tile_pairs(tiles: DataFrame, nodes: DataFrame, stars: DataFrame) -> DataFrame:
     """Pairs of texts in different star components that meet in a tile, fit in size and whose bitmaps let them link."""
     known = nodes.join(stars.select(F.col("vertex").alias("node"), "component"), "node", "left")
-    known = stash(known.select("id", "node", "n", F.coalesce("component", "node").alias("component")), "near-known")
+    known = stash(known.select("id", "node", "n", F.coalesce("component", "node").alias("component")), "near-known", files_per_core=2)
     signs = nodes.select("id", "bitmap")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,13 +445,14 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = stash(
         sets.where("n > 0 and bitmap is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("id", "n", "common", "bitmap", "smallest")]),
         "near-nodes",
+        files_per_core=4,
     )
     entries = sets.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
-    star_links = stash(_verified(docs, stash(_star_pairs(nodes), "near-stars")), "near-star-links")
+    star_links = stash(_verified(docs, stash(_star_pairs(nodes), "near-stars", files_per_core=2)), "near-star-links", files_per_core=2)
     stars = connected_components(star_links, "a", "b")
-    tiles = stash(_tiles(sets, buckets), "near-tiles")
-    tile_links = stash(_verified(docs, stash(_tile_pairs(tiles, nodes, stars), "near-pairs")), "near-tile-links")
+    tiles = stash(_tiles(sets, buckets), "near-tiles", files_per_core=2)
+    tile_links = stash(_verified(docs, stash(_tile_pairs(tiles, nodes, stars), "near-pairs", files_per_core=2)), "near-tile-links", files_per_core=2)
     # star components stand for their members from here on
     joined = stars.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(tile_links)
     classes = connected_components(joined, "a", "b")
