@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, limit: str = "8m") -> None:
+    """Bound the Arrow batches by which texts go to Python, where the session has Spark's default: buffers of this size
+    are native memory, several for each task, that executors keep."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, limit)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value, null as empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()

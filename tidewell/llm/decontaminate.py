@@ -20,6 +20,8 @@ from tidewell.llm.common import slices, text_bytes
 #: Lower-cases A-Z and turns what is no word character (``[^\x00-\x2F\x3A-\x60\x7B-\x7F]``) into spaces.
 _FOLD = bytes((c + 32) if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
+#: Bytes of texts in one index.
+INDEX_BYTES = 2 << 20
 #: Words of test items in one broadcast part; more items make more parts, which workers hold one after the other.
 PART_WORDS = 1_000_000
 
@@ -137,7 +139,7 @@ def _scanner(context, tests: DataFrame, window: int, slack: int | None):
     parts = [context.broadcast(p) for p in _parts(tests, window)]
 
     def scan(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[int]]]]:
-        for lo, hi in slices([len(x) for x in texts]):
+        for lo, hi in slices([len(x) for x in texts], INDEX_BYTES):
             tokens = [words(x) for x in texts[lo:hi]]
             counts = np.fromiter(map(len, tokens), np.int64, hi - lo)
             begin = np.cumsum(counts + 1) - counts - 1  # a free place after each document

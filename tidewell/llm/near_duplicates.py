@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import lowered_words, mix64, slices, stash, text_slices
+from tidewell.llm.common import bounded_batches, lowered_words, mix64, slices, stash, text_slices
 from tidewell.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -441,6 +441,7 @@ def _tile_pairs(tiles: DataFrame, nodes: DataFrame, stars: DataFrame) -> DataFra
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row's (doc_id, node, n), and those of rows with words with their component (a node)."""
+    bounded_batches(docs.sparkSession)
     sets = stash(_sets(docs, _frequent(docs)), "near-sets")
     nodes = stash(
         sets.where("n > 0 and bitmap is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("id", "n", "common", "bitmap", "smallest")]),

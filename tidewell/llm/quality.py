@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import doc_fold, stash, text_bytes
+from tidewell.llm.common import bounded_batches, doc_fold, stash, text_bytes
 
 _TABLE_ALPHA = bytes(c for c in range(256) if not (65 <= c <= 90 or 97 <= c <= 122 or c >= 128))
 _NOT_UPPER = bytes(c for c in range(256) if not 65 <= c <= 90)
@@ -129,6 +129,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             found = [np.array(statistics(x)).tobytes() for x in text_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "stats"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, "doc_id long, stats binary")
 
 
