@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from tests.llm.helpers import docs
@@ -52,3 +54,21 @@ def test_bounds_let_every_match_pass():
         low, high = licenses.size_bounds(n, 0.8)
         for m in range(1, 300):
             assert (low <= m <= high) == (2 * min(n, m) >= 0.8 * (n + m) - 1e-9)
+
+
+def test_notices_between_other_text(spark):
+    code = "\n".join(f"value_{i} = compute(argument_{i}, other_{i})  # step {i}" for i in range(30))
+    wrapped = "\n".join("# " + x for x in textwrap.wrap(licenses.TEMPLATES[12][1], 76))
+    mit = "MIT License\n\nCopyright (c) 2020 Somebody Else\n\n" + textwrap.fill(licenses.TEMPLATES[12][1], 78) + (
+        "\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\n"
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.\n'
+    )
+    inside = "All the files in this folder and below it are ours. Licensed under the Apache License, Version 2.0. Other text comes after it, as everywhere."
+    loose = textwrap.fill(licenses.TEMPLATES[12][1].replace("to any person", "to really any one person or company"), 70)
+    bsd = {n: "Copyright (c) 2021, Somebody\n\n" + textwrap.fill(t, 70) + "\n\n" + code for n, t in licenses.FULL_TEXTS}
+    texts = [wrapped + "\n" + code, code + "\n" + wrapped, mit, inside, f"{loose}\n \n{code}", *bsd.values(), code, "no word of the license, version 2.0, under the terms of it\n" + code]
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs(spark, list(enumerate(texts)))).collect()}
+    assert [got[i].license for i in range(len(texts))] == ["MIT", "MIT", "MIT", "Apache-2.0", "MIT", *bsd, None, None]
+    assert [got[i].dice for i in (0, 1, 2, 3)] == [1.0] * 4 and 0.8 <= got[4].dice < 1 and got[6].dice == 1.0
+    assert got[0].n_units == len(texts[0].split("\n")) + 1  # lines and the whole text, as before
+    assert got[3].licenses == "Apache-2.0" and got[7].licenses == ""

@@ -3,13 +3,18 @@
 All of it is DataFrame expressions inside the row, so nothing is shuffled.  Units are the lines of a text and, if there
 are several, the whole of it.  A unit is compared only with templates that its number of distinct bigrams lets reach the
 threshold: with n and m bigrams the coefficient is at most 2 min(n, m) / (n + m).
+
+Licences that no such unit declares are looked for in paragraphs of several lines and in runs of words as long as the
+template, wherever they begin or end.  A run can reach the threshold only if the text holds the least number of the
+template's bigrams that :func:`size_bounds` gives, so it holds one of any set of as many as the others plus one; few texts
+pass that.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +58,34 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+# Whole licence texts that hold none of the notices above.
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+FULL_TEXTS: tuple[tuple[str, str], ...] = (("BSD-2-Clause", _BSD_2 + _BSD_END), ("BSD-3-Clause", _BSD_2 + _BSD_3 + _BSD_END))
+
+
+def template_words(text: str) -> list[str]:
+    return re.findall(r"[a-z0-9]+", text.translate(str.maketrans(UPPER, LOWER)))
+
+
 def template_bigrams(text: str) -> list[str]:
-    words = re.findall(r"[a-z0-9]+", text.translate(str.maketrans(UPPER, LOWER)))
+    words = template_words(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
@@ -77,42 +108,112 @@ def _literals(templates: Sequence[tuple[str, str]], threshold: float) -> Column:
                     F.lit(low).alias("low"),
                     F.lit(high).alias("high"),
                     F.array(*map(F.lit, grams)).alias("grams"),
+                    F.lit(len(template_words(text))).alias("words"),
+                    F.array(*map(F.lit, sorted(grams, key=len, reverse=True)[: len(grams) - low + 1])).alias("keys"),
                 )
             )
     return F.array(*rows)
 
 
-def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def scan_licenses(
+    docs: DataFrame,
+    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    threshold: float = 0.8,
+    full_texts: Sequence[tuple[str, str]] = FULL_TEXTS,
+) -> DataFrame:
     """Licences that each row of ``docs(doc_id, text, ...)`` declares.
 
     Returns doc_id, n_units (lines that hold a character, and the whole text if it has several lines), license (of the
     best match, null without one; ties to the smaller name), dice (its coefficient), licenses (distinct names that reach
-    ``threshold``, sorted, comma-joined; empty without any).  Null and empty texts have no units; repeated rows count
-    each; an empty table gives an empty result.  ``templates`` are literals of the plan: some hundreds at most.
+    ``threshold``, sorted, comma-joined; empty without any).  A licence that no line and not the whole text declares by
+    ``templates`` is declared by a paragraph of several lines, or by a run of words as long as the template, that reaches
+    ``threshold`` against one of ``templates`` or ``full_texts``.  Null and empty texts have no units; repeated rows count
+    each; an empty table gives an empty result.  Templates are literals of the plan: some hundreds at most.
     """
     if not any(template_bigrams(t) for _, t in templates):
         raise ValueError("no template has two words")
-    table = _literals(templates, threshold)
-    least = min(size_bounds(len(g), threshold)[0] for _, t in templates if (g := template_bigrams(t)))
+    every = [*templates, *full_texts]
+    table, wide = _literals(templates, threshold), _literals(every, threshold)
+    least = min(size_bounds(len(g), threshold)[0] for _, t in every if (g := template_bigrams(t)))
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     lines = F.filter(F.split(text, "\n"), lambda x: x != "")
     units = F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
+    keys = F.array_distinct(F.flatten(F.transform(wide, lambda t: t["keys"])))
+    none = F.array().cast("array<struct<dice:double,license:string>>")
 
     def grams(words: Column) -> Column:
         return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1))))
 
-    words = F.filter(F.transform("units", lambda u: F.filter(F.split(u, "[^a-z0-9]+"), lambda w: w != "")), lambda w: F.size(w) > F.lit(max(least, 1)))
+    def worded(texts: Column) -> Column:
+        """Words of the texts that have enough of them."""
+        split = F.transform(texts, lambda u: F.filter(F.split(u, "[^a-z0-9]+"), lambda w: w != ""))
+        return F.filter(split, lambda w: F.size(w) > F.lit(max(least, 1)))
 
-    def compared(b: Column) -> Column:
-        fit = F.filter(table, lambda t: (F.size(b) >= t["low"]) & (F.size(b) <= t["high"]))
-        return F.transform(
-            fit, lambda t: F.struct((2.0 * F.size(F.array_intersect(b, t["grams"])) / (F.size(b) + t["n"])).alias("dice"), t["license"].alias("license"))
-        )
+    def match(b: Column, t: Column) -> Column:
+        return F.struct((2.0 * F.size(F.array_intersect(b, t["grams"])) / (F.size(b) + t["n"])).alias("dice"), t["license"].alias("license"))
+
+    def compared(b: Column, among: Column) -> Column:
+        return F.transform(F.filter(among, lambda t: (F.size(b) >= t["low"]) & (F.size(b) <= t["high"])), lambda t: match(b, t))
+
+    def reached(found: Column) -> Column:
+        return F.filter(found, lambda m: m["dice"] >= threshold)
+
+    def runs(words: Column, t: Column) -> Column:
+        """Runs of the template's length that hold enough of its bigrams and begin with one, or end the text."""
 
-    found = F.filter(F.flatten(F.transform(F.transform(words, grams), compared)), lambda m: m["dice"] >= threshold)
+        def starts(hits: Column) -> Column:
+            firsts = F.filter(
+                F.sequence(F.lit(0), F.size(hits) - t["low"]), lambda k: F.get(hits, k + t["low"] - 1) - F.get(hits, k) <= t["words"] - 2
+            )
+            return F.array_distinct(F.transform(firsts, lambda k: F.least(F.get(hits, k), F.size(words) - t["words"])))
+
+        hits = F.filter(
+            F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.array_contains(t["grams"], F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1)))
+        )
+        run = F.when(F.size(words) >= t["words"], _let(hits, lambda h: F.when(F.size(h) >= t["low"], starts(h))))
+        return F.transform(F.coalesce(run, F.array().cast("array<int>")), lambda s: match(grams(F.slice(words, s + 1, t["words"])), t))
+
+    def beyond(words: Column, b: Column, found: Column) -> Column:
+        """Matches of licences not found yet, of a text of these words and bigrams."""
+        held = F.transform(found, lambda m: m["license"])
+        fit = F.filter(
+            wide,
+            lambda t: (F.size(b) >= t["low"])
+            & ~F.array_contains(held, t["license"])
+            & F.arrays_overlap(b, t["keys"])
+            & (F.size(F.array_intersect(t["grams"], b)) >= t["low"]),
+        )
+        blocks = F.filter(F.split(text, r"\n[^\S\n]*(?:\n[^\S\n]*)+"), lambda p: F.contains(p, F.lit("\n")))
+        return F.when(
+            F.arrays_overlap(b, keys),
+            _let(
+                fit,
+                lambda f: F.when(
+                    F.size(f) > 0,
+                    reached(
+                        F.concat(
+                            F.flatten(F.transform(worded(blocks), lambda p: _let(grams(p), lambda g: compared(g, f)))),
+                            F.flatten(F.transform(f, lambda t: runs(words, t))),
+                        )
+                    ),
+                ).otherwise(none),
+            ),
+        ).otherwise(none)
+
+    def matches(words: Column, units: Column) -> Column:
+        """Of all units; the last is the whole text."""
+        whole = _let(reached(F.flatten(F.transform(units, lambda b: compared(b, table)))), lambda m: F.concat(m, beyond(F.element_at(words, -1), F.element_at(units, -1), m)))
+        return F.when(F.size(units) > 0, whole).otherwise(none)
+
+    found = _let(worded(F.col("units")), lambda w: _let(F.transform(w, grams), lambda g: matches(w, g)))
     best = F.array_min(F.transform("found", lambda m: F.struct((-m["dice"]).alias("less"), m["license"].alias("license"))))
     return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), units.alias("units"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), units.alias("units"))
         .select("doc_id", F.size("units").cast("long").alias("n_units"), found.alias("found"))
         .select(
             "doc_id",
