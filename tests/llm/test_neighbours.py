@@ -73,6 +73,17 @@ def test_query_blocks_do_not_matter(spark, monkeypatch):
     assert [r[:2] for r in rows_of(nb.search(df, df.where("vec_id % 20 = 0"), recall=1.0))] == [r[:2] for r in once]
 
 
+def test_candidate_number_holds_for_later_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    dense = rng.standard_normal((40, 32)).repeat(10, axis=0) + 0.02 * rng.standard_normal((400, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([dense, rng.standard_normal((1600, 32))]))]
+    monkeypatch.setattr(nb, "QUERY_BLOCK", 20)  # the first block lies in the dense part
+    df = frame(spark, rows).coalesce(1)
+    got = rows_of(nb.search(df, df.where("vec_id % 20 = 0")))
+    loose = {r[0:3:2] for r in brute_force(rows, set(range(400, 2000, 20)))}
+    assert len(loose & {r[0:3:2] for r in got}) >= 0.93 * len(loose)
+
+
 def test_recall_of_the_query(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]

@@ -6,8 +6,8 @@ which is a range of the sorted array, and ascends in all trees at once to shorte
 candidates.  How deep each query ends up is decided over all runs together, so a result doesn't depend on how rows are
 dealt; candidates are then scored exactly.
 
-How many candidates are enough is measured, not guessed: over a bounded sample of queries with exact neighbours, the
-number is chosen so that their neighbours are found at least at the wanted rate.
+How many candidates are enough is measured, not guessed: over a bounded sample of queries, drawn by hash from all of them, with exact neighbours,
+the number is chosen so that their neighbours are found at least at the wanted rate.
 
 Queries go to the workers in blocks of a fixed size; rows stay where they are read and nothing is joined.
 """
@@ -214,8 +214,6 @@ def search(
         """Candidates, counted over all trees, at which the sample finds its true neighbours at the wanted rate."""
         if not len(q):
             return k
-        pick = np.linspace(0, len(q) - 1, min(SAMPLE, len(q))).astype(int)
-        names, q = names[pick], q[pick]
         exact = top(nearest(names, q, np.zeros(len(q), np.int64))).select("query_row", "vec_id").collect()  # at most SAMPLE * k rows
         ids = {r[1] for r in exact}
         held = {r[0]: r[1] for r in rows.where(F.col("vec_id").isin(*ids)).collect()} if ids else {}
@@ -227,11 +225,16 @@ def search(
             need.append(int(counts[i, shared + 1]) + 1 if shared < bits else 1)
         return int(np.quantile(need, recall, method="higher")) if need else k
 
-    parts, wanted = [], None
+    def sample() -> tuple[np.ndarray, np.ndarray]:
+        """At most SAMPLE queries that take part, by hash over all blocks."""
+        used = (F.size("embedding") == dims) & F.expr("exists(embedding, x -> x <> 0)") & F.expr("forall(embedding, x -> x is not null and abs(x) < double('infinity'))")
+        drawn = asked.where(used).orderBy(F.xxhash64("vec_id", "embedding", F.lit(seed)), "vec_id").limit(SAMPLE).collect()
+        return _vectors(pa.array([r[1] for r in drawn], pa.list_(pa.float64())), pa.array([r[0] for r in drawn], pa.int64()), dims)
+
+    parts, wanted = [], enough(*sample())
     for names, q in blocks():
         if not len(names):
             continue
-        wanted = enough(names, q) if wanted is None else wanted
         reached = depth_counts(names, q) >= max(wanted, trees * k)  # a row counts at most once a tree: at least k rows
         depth = np.where(reached.any(axis=1), bits - np.argmax(reached[:, ::-1], axis=1), 0)
         parts.append(nearest(names, q, depth))
