@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.common import stash, table
 from tidewell.llm.decontaminate import clean_documents
-from tidewell.llm.mixing import mixed_documents
+from tidewell.llm.mixing import drawn_documents
 from tidewell.llm.near_duplicates import one_of_each_class
 from tidewell.llm.quality import good_documents
 from tidewell.llm.shards import pack_shards
@@ -33,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixed_documents(docs)
+    return drawn_documents(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

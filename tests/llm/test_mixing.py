@@ -66,3 +66,15 @@ def test_sources_come_near_their_targets_and_reruns_agree(spark):
 def test_blocks_are_whole_when_one_source_is_alone(spark):
     got = mixing.mix_sources(docs(spark, [(i, "a b c", "s") for i in range(10)])).collect()
     assert abs(sum(r.taken for r in got) - 30) <= 4 and {r.target for r in got} == {30.0}  # half a block
+
+
+def test_long_documents_are_drawn_at_their_rate(spark):
+    # shards hold some ten rows, one long: its run is a quarter of the words, so less than half of the long row
+    rows = [(i, "w " * (2000 if i % 10 == 0 else 20), "hot") for i in range(3000)] + [(i, "w " * 60, s) for i in range(3000, 9000) for s in [f"z{i % 5}"]]
+    table = docs(spark, rows)
+    got = [r for r in mixing.mix_sources(table, rows_per_shard=30).collect() if r.source == "hot"]
+    rate = sum(r.taken for r in got) / sum(r.size for r in got)
+    assert 0.1 < rate < 0.5
+    kept = [r.doc_id for r in mixing.drawn_documents(table, rows_per_shard=30).where("source = 'hot'").select("doc_id").collect()]
+    words = sum(2000 if i % 10 == 0 else 20 for i in kept)
+    assert abs(sum(i % 10 == 0 for i in kept) - 300 * rate) <= 0.25 * 300 * rate and abs(words - rate * sum(r.size for r in got)) <= 0.25 * rate * sum(r.size for r in got)

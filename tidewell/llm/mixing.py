@@ -149,7 +149,25 @@ def mixed_documents(
     docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 500, seed: int = 17
 ) -> DataFrame:
     """The mix of :func:`mix_sources` as rows: each row of ``docs``, whole and with all its columns, as often as the words
-    taken of it are its size, rounded (never, if that is less than half)."""
+    taken of it are its size, rounded (never, if that is less than half, as it is for each row twice as long as its run)."""
     laid = _laid_out(docs, weights, cap, block_tokens, rows_per_shard, seed, F.struct(*[docs[c] for c in docs.columns]))
-    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(0)
+    return _repeated(laid, F.round(F.col("taken") / F.col("size")))
+
+
+def drawn_documents(
+    docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, block_tokens: int = 8, rows_per_shard: int = 500, seed: int = 17
+) -> DataFrame:
+    """:func:`mixed_documents`, but a row whose copies rounding would fix whatever the seed, since the run of its source and
+    shard or what that leaves is shorter than half the row, is taken once more if the run covers its middle word.  So rows of
+    every length come as often, on average, as words are taken."""
+    laid = _laid_out(docs, weights, cap, block_tokens, rows_per_shard, seed, F.struct(*[docs[c] for c in docs.columns]))
+    size, st, middle = F.col("size"), F.col("shard_size"), F.col("begin") + F.floor(F.col("size") / 2)
+    run = F.col("last") - F.col("first")
+    covered = ((middle >= F.col("first")) & (middle < F.col("last"))) | (middle < F.col("last") - st)
+    fixed = (2 * run < size) | (2 * (st - run) < size)
+    return _repeated(laid, F.when(fixed, F.col("whole") + covered.cast("int")).otherwise(F.round(F.col("taken") / size)))
+
+
+def _repeated(laid: DataFrame, copies: Column) -> DataFrame:
+    copies = F.when(F.col("size") > 0, copies.cast("int")).otherwise(0)
     return laid.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")
