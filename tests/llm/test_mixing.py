@@ -78,3 +78,12 @@ def test_long_documents_are_drawn_at_their_rate(spark):
     kept = [r.doc_id for r in mixing.drawn_documents(table, rows_per_shard=30).where("source = 'hot'").select("doc_id").collect()]
     words = sum(2000 if i % 10 == 0 else 20 for i in kept)
     assert abs(sum(i % 10 == 0 for i in kept) - 300 * rate) <= 0.25 * 300 * rate and abs(words - rate * sum(r.size for r in got)) <= 0.25 * rate * sum(r.size for r in got)
+
+
+def test_thin_sources_reach_their_targets(spark):
+    # 40 sources whose targets are less than half a block a shard
+    rows = [(i, "a b c", f"s{i % 40:02}") for i in range(6000)]
+    taken, target = {}, {}
+    for r in mixing.mix_sources(docs(spark, rows), rows_per_shard=20).collect():
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
+    assert len(target) == 40 and all(abs(taken[s] - target[s]) <= 8 for s in target)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +28,8 @@ def water_filled(sizes: Sequence[int], weights: Sequence[float], cap: float) ->
         for i in over:
             targets[i] = float(cap * sizes[i])
         left -= sum(targets[i] for i in over)
-        open_ = [i for i in open_ if i not in set(over)]
+        full = set(over)
+        open_ = [i for i in open_ if i not in full]
     return targets
 
 
@@ -86,33 +86,35 @@ def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens:
     found.sort(key=lambda r: (r.skey == "n", r.skey))
     targets = water_filled([r.size for r in found], [weights[i % len(weights)] for i in range(len(found))], cap)
     shards = max(1, -(-sum(r.rows for r in found) // rows_per_shard))
-    rate = {r.skey: (t / r.size if r.size else 0.0) for r, t in zip(found, targets, strict=True)}
-
-    def quotas(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("skey")
-        wish = [rate[k] * s for k, s in zip(part.skey, part.shard_size, strict=True)]
-        limits = [-(-cap * int(s) // block_tokens) for s in part.shard_size]
-        return part.assign(quota=sainte_lague(wish, round(sum(wish) / block_tokens), limits))
+    limits = [-(-cap * r.size // block_tokens) for r in found]
+    quotas = sainte_lague(targets, round(sum(targets) / block_tokens), limits)
+    schema = "skey string, source_size long, target double, quota long"
+    by_source = docs.sparkSession.createDataFrame([(r.skey, r.size, t, n) for r, t, n in zip(found, targets, quotas, strict=True)], schema)
 
     shard = F.pmod(F.col("draw"), F.lit(shards))
+    # Words given up to a shard: the quota's rounded part, but in no shard more than cap times its words; what that cuts
+    # off or rounding leaves goes to later shards.
+    so_far = Window.partitionBy("skey").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    capped, b = F.lit(cap) * F.col("words"), F.lit(block_tokens)
+    due = b * F.floor(F.col("quota") * (F.col("words") / F.greatest(F.col("source_size"), F.lit(1))) + 0.5)
     per_shard = (
         sized.groupBy(shard.alias("shard"), "skey")
         .agg(F.sum("size").alias("shard_size"))
-        .groupBy("shard")
-        .applyInPandas(quotas, "shard long, skey string, shard_size long, quota long")
+        .join(F.broadcast(by_source) if len(found) <= 10_000 else by_source, "skey")
+        .withColumn("words", F.sum("shard_size").over(so_far))
+        .withColumn("upto", capped + F.least(F.lit(0), F.min(due - capped).over(so_far)))
+        .withColumn("given", F.col("upto") - F.lag("upto", 1, 0).over(Window.partitionBy("skey").orderBy("shard")))
+        .select("shard", "skey", "shard_size", "source_size", "target", "given")
     )
-    schema = "skey string, source_size long, target double"
-    by_source = docs.sparkSession.createDataFrame([(r.skey, r.size, t) for r, t in zip(found, targets, strict=True)], schema)
 
     rows = sized if carried is None else docs.select(*columns, carried.alias("row"))
-    b, st, q = F.lit(block_tokens), F.col("shard_size"), F.col("quota")
+    st = F.col("shard_size")
     upto = Window.partitionBy("shard", "skey").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     laid = (
         rows.withColumn("shard", shard)
         .join(per_shard, ["shard", "skey"])
         .withColumn("end", F.sum("size").over(upto))
         .withColumn("begin", F.col("end") - F.col("size"))
-        .withColumn("given", F.least(q * b, F.lit(cap) * st))  # the last block may be short
         .withColumn("whole", F.floor(F.col("given") / F.greatest(st, F.lit(1))))
         .withColumn("first", F.pmod(F.xxhash64("shard", "skey", F.lit(seed)), F.greatest(F.ceil(st / b), F.lit(1))) * b)
         .withColumn("last", F.col("first") + F.col("given") - F.col("whole") * st)
@@ -122,8 +124,7 @@ def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens:
         return F.greatest(F.lit(0), F.least(F.col("end"), hi) - F.greatest(F.col("begin"), lo))
 
     run = overlap(F.col("first"), F.col("last")) + overlap(F.lit(0), F.col("last") - st)
-    laid = laid.withColumn("taken", (F.col("whole") * F.col("size") + run).cast("long"))
-    return laid.join(F.broadcast(by_source) if len(found) <= 10_000 else by_source, "skey")
+    return laid.withColumn("taken", (F.col("whole") * F.col("size") + run).cast("long"))
 
 
 def mix_sources(
@@ -132,9 +133,9 @@ def mix_sources(
     """How many words a mix takes of each row of ``docs(doc_id, text, source, ...)``.
 
     Sources in code-point order (null last) have the repeated ``weights``; targets share all words and stop at ``cap``
-    times a source's words.  Rows are dealt to shards of about ``rows_per_shard`` by a seeded hash.  In each shard the
-    sources get integer quotas of ``block_tokens``-word blocks by Sainte-Lague; a source's quota takes all its words as
-    often as it goes, and the rest as a run of blocks from a seeded one on, over its rows in seeded order.  A row's words
+    times a source's words.  Rows are dealt to shards of about ``rows_per_shard`` by a seeded hash.  The
+    sources get integer quotas of ``block_tokens``-word blocks by Sainte-Lague, which are split over their shards by
+    cumulative rounding in shard order; a shard's part takes all its words as often as it goes, and the rest as a run of blocks from a seeded one on, over its rows in seeded order.  A row's words
     are those of its blocks.
 
     Returns doc_id, source, size, source_size, target, taken.  Null text: size 0, taken 0.  Repeated rows and doc_ids
