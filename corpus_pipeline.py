@@ -27,8 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth is benchmark text."""
-    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without a word of benchmark text: a passage in a long document is a leak, too."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"), share=None)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

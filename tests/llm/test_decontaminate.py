@@ -54,6 +54,8 @@ def test_contamination_against_brute_force(spark, monkeypatch):
         assert rows_of(dc.contamination(docs(spark, rows).repartition(3), tests)) == want
         clean = {r.doc_id for r in dc.clean_documents(docs(spark, rows), tests).collect()}
         assert clean == {r[0] for r in want if not r[5]} and any(r[5] for r in want)
+        whole = {r.doc_id for r in dc.clean_documents(docs(spark, rows), tests, share=None).collect()}
+        assert whole == {r[0] for r in want if not r[2]} and whole < clean  # short passages, too
 
 
 def test_awkward_rows(spark):

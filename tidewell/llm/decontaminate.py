@@ -194,15 +194,17 @@ def find_matches(docs: DataFrame, tests: DataFrame, window: int = 13, slack: int
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, MATCHES)
 
 
-def clean_documents(docs: DataFrame, tests: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that :func:`contamination` doesn't call contaminated; a narrow pass."""
+def clean_documents(docs: DataFrame, tests: DataFrame, window: int = 13, share: int | None = 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that :func:`contamination` doesn't call contaminated; with ``share``
+    None, those without any word inside a test window.  A narrow pass."""
     scan = _scanner(docs.sparkSession.sparkContext, tests, window, None)
     at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, counts, n_hit, _ in scan(text_bytes(batch.column(at))):
-                yield batch.slice(lo, hi - lo).filter(pa.array((n_hit == 0) | (share * n_hit < counts)))
+                clean = (n_hit == 0) if share is None else (n_hit == 0) | (share * n_hit < counts)
+                yield batch.slice(lo, hi - lo).filter(pa.array(clean))
 
     return docs.mapInArrow(keep, docs.schema)
 
