@@ -37,6 +37,7 @@ def test_retention_keeps_the_newest_and_what_a_null_shields(spark):
     df.createOrReplaceTempView("l")
     native = spark.sql("SELECT * FROM l EXCEPT ALL (SELECT * FROM l WHERE t < 8 AND (k, t) NOT IN (SELECT k, max(t) FROM l GROUP BY k))")
     assert sorted(map(tuple, native.collect()), key=repr) == got
+    spark.catalog.dropTempView("l")
 
 
 def test_should_run():

@@ -1,6 +1,8 @@
+import gzip
 import json
 
 import pytest
+import zstandard
 
 from tidewell import session
 from tidewell.operators import validation
@@ -126,6 +128,25 @@ def test_own_event_log_can_be_read(spark):
     assert event_log.jobs(event_log.read(spark, folder)).count() > 0
 
 
+@pytest.mark.parametrize("ending", ["", ".zstd", ".zst", ".gz", ".zstd.compact"])
+def test_logs_larger_than_a_split_are_read_whole(spark, tmp_path, ending):
+    text = "\n".join(json.dumps({"Event": "SparkListenerJobStart", "Job ID": i, "Submission Time": i, "Properties": {"spark.job.description": f"d{i}é"}}) for i in range(5000)).encode()
+    half = text.index(b"\n", len(text) // 2) + 1
+    pack = gzip.compress if ending == ".gz" else zstandard.compress if ending else bytes
+    (tmp_path / f"events_1_app{ending}").write_bytes(pack(text[:half]) + pack(text[half:]))  # two frames, as a flushed log has
+    (tmp_path / "appstatus_app").write_text("")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    try:
+        for key in keys:
+            spark.conf.set(key, "4096")
+        events = event_log.read(spark, f"file://{tmp_path}")
+        assert sorted(r.job_id for r in event_log.jobs(events).select("job_id").collect()) == list(range(5000))
+        assert ending or events.rdd.getNumPartitions() > 4
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
 def test_settings_precedence(tmp_path):
     (tmp_path / ".env").write_text("# x\nSTORAGE__BUCKET='b1'\nDATABASE__HOST=file\nKAFKA__BOOTSTRAP_SERVERS=k\n")
     got = Settings.load(str(tmp_path / ".env"), environ={"STORAGE__CATALOG": "c", "STORAGE__BUCKET": "b2"}, fetch=lambda config: {"host": "vault", "user": "u"}, storage={"data_path": "/d"})

@@ -7,6 +7,7 @@ mirror, ``orders`` and ``lineitem`` for source tables and for jobs and tasks of
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from tidewell.functions import change_values, cleansing
 from tidewell.operators import changes, ledger, reports, validation
 from tidewell.operators.store import SnapshotStore
+from tidewell.plans import event_log_report
 from tidewell.scratch import scratch_path
-from tidewell.sources import avro, streams
+from tidewell.sources import avro, event_log, jdbc, streams
 from tidewell.sources.registry import FixedRegistry
 from tidewell.streaming import change_batches, landing
 
@@ -108,9 +110,16 @@ def date_partitions(spark, sf_dir):
     return cleansing.with_date_parts(table(spark, sf_dir, "events"), "ts", parts).groupBy(*parts).agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, ts - INTERVAL 9 HOUR AS utc FROM events")
+def _instant(column: str):
+    """A wall clock without zone as the instant at which a clock in UTC shows it, whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column)).cast("timestamp")
+
+
+@query("SELECT event_id, ts AS wall, epoch_us(ts) - 32400000000 AS utc_us FROM events")
 def zone_shift(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.convert_timezone(F.lit("Asia/Seoul"), F.lit("UTC"), F.col("ts")).alias("utc"))
+    """Clocks of a source zone as UTC; a timestamp without zone stays as it is."""
+    clocks = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("wall"), _instant("ts").alias("at"))
+    return cleansing.timestamps_to_utc(clocks, "Asia/Seoul").select("event_id", "wall", F.unix_micros("at").alias("utc_us"))
 
 
 @query(
@@ -152,9 +161,31 @@ def avro_round_trip(spark, sf_dir):
     return avro.decoded(avro.encoded(rows, schema), "payload", schema).select("record.*")
 
 
+def order_database(spark: SparkSession, sf_dir: str) -> jdbc.Database:
+    """An operational database that holds the orders: Derby, in the driver's memory."""
+    db = jdbc.Derby.memory(spark, "catalog")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    rows.coalesce(1).write.format("jdbc").options(**db.options).option("dbtable", "APP.ORDERS").option("createTableColumnTypes", "o_orderstatus VARCHAR(1)").option("batchsize", 5000).mode("overwrite").save()
+    return db
+
+
 @query("SELECT min(o_orderkey) AS lower_bound, max(o_orderkey) AS upper_bound FROM orders")
 def jdbc_bounds(spark, sf_dir):
-    return table(spark, sf_dir, "orders").agg(F.min("o_orderkey").alias("lower_bound"), F.max("o_orderkey").alias("upper_bound"))
+    bounds = order_database(spark, sf_dir).bounds("APP.ORDERS", "o_orderkey")
+    return spark.createDataFrame([bounds], "lower_bound long, upper_bound long")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def jdbc_range_read(spark, sf_dir):
+    """The table in four ranges of the key that the source's catalog names."""
+    return order_database(spark, sf_dir).read("APP.ORDERS", 4)
+
+
+@query("SELECT o_orderstatus AS status, count(*) AS n, max(o_totalprice) AS dearest FROM orders GROUP BY 1")
+def jdbc_pushed_query(spark, sf_dir):
+    """A statement that the source runs; its groups alone come over."""
+    db = order_database(spark, sf_dir)
+    return db.query(f'SELECT "o_orderstatus" AS "status", CAST(count(*) AS BIGINT) AS "n", max("o_totalprice") AS "dearest" FROM {db.source_name("APP.ORDERS")} GROUP BY "o_orderstatus"')
 
 
 @query(
@@ -189,11 +220,19 @@ def should_run_flags(spark, sf_dir):
     return last.select("user_id", ledger.due(F.col("last"), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"), ledger.COMPACTION_INTERVAL).alias("due"))
 
 
-@query("SELECT (event_id % 3 + 9)::INT AS schema_id, count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset FROM events GROUP BY 1")
+@query("SELECT (event_id % 3 + 9)::INT AS schema_id, (event_id % 3)::INT AS place, count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset FROM events GROUP BY 1, 2")
 def schema_version_split(spark, sf_dir):
+    """A batch split by the schema ids that it holds, in their numeric order."""
     message = F.concat(F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(F.col("event_id") % 3 + 9), 8, "0"))), F.lit("x").cast("binary"))
     batch = table(spark, sf_dir, "events").select("event_id", change_values.schema_id(message).alias("schema_id"))
-    return batch.groupBy("schema_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_offset"), F.max("event_id").alias("last_offset"))
+    parts = [
+        changes.batch_stats(of_schema.withColumn("at", F.lit(None).cast("timestamp")), "at", "event_id").select(
+            F.lit(schema).alias("schema_id"), F.lit(i).alias("place"), F.col("event_count").alias("n"), F.col("min_offset").alias("first_offset"), F.col("max_offset").alias("last_offset")
+        )
+        for i, schema in enumerate(changes.by_schema_version(batch, "schema_id"))
+        for of_schema in [batch.where(F.col("schema_id") == schema)]
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query("SELECT p_partkey, trim('  ' || p_name || ' ', ' ') AS p_name, trim(p_brand, ' ') AS p_brand, trim(p_type, ' ') AS p_type, p_size, p_retailprice FROM part")
@@ -218,7 +257,8 @@ def index_percentiles(spark, sf_dir):
 
 _CLASS = """CASE WHEN contains(t, 'merge into') THEN 'MERGE INTO' WHEN contains(t, 'delete from') THEN 'DELETE' WHEN contains(t, 'insert into') THEN 'INSERT INTO'
     WHEN contains(t, 'create table') OR contains(t, 'create database') THEN 'DDL' WHEN contains(t, 'select') THEN 'SELECT' ELSE 'OTHER' END"""
-_STATEMENTS = "['MERGE INTO t USING s', 'select * from t', 'Insert into t select 1', 'delete from t', 'create table t as select 1', 'vacuum']"
+_TEXTS = ("MERGE INTO t USING s", "select * from t", "Insert into t select 1", "delete from t", "create table t as select 1", "vacuum")
+_STATEMENTS = str(list(_TEXTS))
 
 
 @query(
@@ -227,7 +267,7 @@ SELECT sql_class, count(*) AS n, avg(d) AS avg_ms, max(d) AS max_ms, sum(d)::BIG
     list_sort(list(d))[(floor(count(*) * 0.5))::INT + 1] AS p50_ms, list_sort(list(d))[(floor(count(*) * 0.95))::INT + 1] AS p95_ms FROM c GROUP BY 1"""
 )
 def sql_class_stats(spark, sf_dir):
-    texts = F.array(*[F.lit(x) for x in ("MERGE INTO t USING s", "select * from t", "Insert into t select 1", "delete from t", "create table t as select 1", "vacuum")])
+    texts = F.array(*[F.lit(x) for x in _TEXTS])
     runs = table(spark, sf_dir, "events").select(F.get(texts, (F.col("event_id") % 6).cast("int")).alias("t"), ((F.col("event_id") * 7919) % 10007).alias("d"))
     return reports.class_stats(runs, "t", "d")
 
@@ -251,17 +291,116 @@ def top_slow(spark, sf_dir):
     return reports.slowest(rows, "l_extendedprice", ["l_orderkey", "l_linenumber"])
 
 
+def application_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as an application's log, written as compressed lines and read back: each is a job, a statement and a task."""
+    at, id_ = F.unix_millis(_instant("ts")), F.col("event_id")
+    took = (id_ * 7919) % 10007
+    user = F.col("user_id").cast("string")
+    sql = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
+    stream = "org.apache.spark.sql.streaming.StreamingQueryListener$Query"
+
+    def line(event: str, /, **fields):
+        return F.to_json(F.struct(F.lit(event).alias("Event"), *[c.alias(k.replace("_", " ") if k[0].isupper() else k) for k, c in fields.items()]))
+
+    properties = F.create_map(
+        F.lit("spark.job.description"), F.concat(F.lit("user "), user, F.lit("\nall of it")), F.lit("spark.jobGroup.id"), user, F.lit("spark.scheduler.pool"), F.nullif("event_type", F.lit("error"))
+    )
+    properties = F.map_filter(properties, lambda _, v: v.isNotNull())
+    slow = F.floor(took * took / 1000)
+    task = F.struct((F.col("event_id") * 0).alias("Launch Time"), slow.alias("Finish Time"), (id_ % 17 == 0).alias("Failed"), (F.col("user_id") % 7).cast("string").alias("Executor ID"))
+    metrics = F.struct(F.floor(slow * 0.75).alias("Executor Run Time"), (id_ % 10).alias("JVM GC Time"))
+    statements = F.array(*[F.lit(x) for x in _TEXTS])
+    lines = F.array(
+        line("SparkListenerJobStart", Job_ID=id_, Submission_Time=at, Properties=properties),
+        F.when(id_ % 11 != 0, line("SparkListenerJobEnd", Job_ID=id_, Completion_Time=at + took)),
+        line(sql + "Start", executionId=id_, description=F.get(statements, (id_ % 6).cast("int")), time=at),
+        F.when(id_ % 13 != 0, line(sql + "End", executionId=id_, time=at + took)),
+        line("SparkListenerTaskEnd", Stage_ID=F.col("user_id"), Task_Info=task, Task_Metrics=metrics),
+        F.when(id_ % 100 == 0, line(stream + "StartedEvent", id=user, runId=id_.cast("string"), name=user)),
+        F.when(id_ % 300 == 0, line(stream + "TerminatedEvent", id=user, runId=id_.cast("string"), exception=F.when(id_ % 900 == 0, F.lit("late")))),
+        line(stream + "ProgressEvent", progress=F.struct((id_ - id_ % 100).cast("string").alias("runId"), (id_ % 100).alias("batchId"), F.lit(2).alias("numInputRows"))),
+        F.lit("{malformed"),
+    )
+    n = F.col("id")
+    fixed = F.array(
+        line("SparkListenerExecutorAdded", Executor_ID=n.cast("string"), Timestamp=n * 0, Executor_Info=F.struct(F.concat(F.lit("h"), n).alias("Host"), F.lit(2).alias("Total Cores"))),
+        line("SparkListenerBlockManagerAdded", Block_Manager_ID=F.struct(n.cast("string").alias("Executor ID")), Maximum_Memory=(n + 1) * 1000),
+        F.when(n == 0, line("SparkListenerApplicationEnd", Timestamp=F.lit(50_000_000))),
+        F.when(n == 0, line("SparkListenerEnvironmentUpdate", Spark_Properties=F.create_map(F.lit("spark.app.name"), F.lit("made"), F.lit("my.kafka.servers"), F.lit("k:9092")))),
+    )
+    made = [f.select(F.explode(x).alias("value")).where("value is not null") for f, x in ((table(spark, sf_dir, "events"), lines), (spark.range(7), fixed))]
+    path = scratch_path(spark, "application-log")
+    made[0].unionAll(made[1]).write.option("compression", "gzip").text(path)
+    return event_log.read(spark, path, "part-*")
+
+
+_RUN = "run AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS began, (event_id * 7919) % 10007 AS took FROM events)"
+
+
 @query("SELECT coalesce(nullif(event_type, 'error'), 'default') AS pool, count(*) AS jobs FROM events GROUP BY 1")
 def pool_counts(spark, sf_dir):
-    pool = F.coalesce(F.when(F.col("event_type") != "error", F.col("event_type")), F.lit("default"))
-    return table(spark, sf_dir, "events").groupBy(pool.alias("pool")).agg(F.count("*").alias("jobs"))
+    return event_log_report.pools(application_log(spark, sf_dir))
 
 
-@query("SELECT user_id, epoch_us(min(ts)) // 1000 AS start_ms, epoch_us(max(ts)) // 1000 AS end_ms, epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS duration_ms, count(*) AS jobs FROM events GROUP BY 1")
+@query(
+    f"""WITH {_RUN}, s AS (SELECT user_id, min(began) AS a, max(began + took) AS b, count(*) AS jobs FROM run WHERE event_id % 11 <> 0 GROUP BY 1),
+g AS (SELECT min(a) AS t0, 60::DOUBLE / greatest(1, max(b) - min(a)) AS scale FROM s), l AS (SELECT *, least(59, floor((a - t0) * scale))::INT AS l FROM s, g),
+r AS (SELECT *, greatest(l + 1, least(60, ceil((b - t0) * scale)::INT)) AS r FROM l)
+SELECT 'user ' || user_id AS topic, strftime(make_timestamp(a * 1000), '%H:%M:%S') AS start, jobs, a AS start_ms, b - a AS duration_ms, repeat(' ', l) || repeat('#', r - l) || repeat(' ', 60 - r) AS bar FROM r"""
+)
 def timeline(spark, sf_dir):
-    ms = F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp"))
-    spans = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min(ms).alias("start_ms"), F.max(ms).alias("end_ms"), F.count("*").alias("jobs"))
-    return spans.select("user_id", "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "jobs")
+    return event_log_report.timeline(application_log(spark, sf_dir)).select("topic", "start", "jobs", "start_ms", "duration_ms", "bar")
+
+
+@query(
+    f"""WITH {_RUN}, s AS (SELECT lower(({_STATEMENTS})[(event_id % 6)::INT + 1]) AS t, took AS d FROM run WHERE event_id % 13 <> 0), c AS (SELECT {_CLASS} AS sql_class, d FROM s)
+SELECT sql_class, count(*) AS n, avg(d) AS avg_ms, max(d) AS max_ms, sum(d)::BIGINT AS total_ms,
+    list_sort(list(d))[(floor(count(*) * 0.5))::INT + 1] AS p50_ms, list_sort(list(d))[(floor(count(*) * 0.95))::INT + 1] AS p95_ms FROM c GROUP BY 1"""
+)
+def log_sql_classes(spark, sf_dir):
+    return event_log_report.sql_classes(application_log(spark, sf_dir))
+
+
+@query(
+    f"""WITH {_RUN}, t AS (SELECT user_id AS stage_id, took * took // 1000 AS d FROM run WHERE event_id % 17 <> 0),
+g AS (SELECT stage_id, count(*) AS tasks, max(d) AS max_ms, list_sort(list(d))[(floor(count(*) * 0.5))::INT + 1] AS p50_ms FROM t GROUP BY 1)
+SELECT stage_id, tasks, max_ms, p50_ms, max_ms / p50_ms AS ratio, max_ms > 10000 AS serious FROM g WHERE tasks >= 2 AND p50_ms > 0 AND max_ms / p50_ms > 3 ORDER BY ratio DESC, stage_id LIMIT 15"""
+)
+def log_skewed_stages(spark, sf_dir):
+    return event_log_report.skewed_stages(application_log(spark, sf_dir))
+
+
+@query(
+    f"""WITH {_RUN}, t AS (SELECT took * took // 1000 AS d, event_id % 10 AS gc FROM run WHERE event_id % 17 <> 0)
+SELECT count(*) AS tasks, max(d) AS max_ms, 100.0::DOUBLE * sum(gc) / sum(d) AS gc_pct, list_sort(list(d))[(floor(count(*) * 0.5))::INT + 1] AS p50_ms, list_sort(list(d))[(floor(count(*) * 0.95))::INT + 1] AS p95_ms FROM t"""
+)
+def log_task_times(spark, sf_dir):
+    return event_log_report.task_times(application_log(spark, sf_dir))
+
+
+@query(
+    f"""WITH {_RUN}, t AS (SELECT (user_id % 7)::VARCHAR AS executor_id, count(*) AS tasks, avg(took * took // 1000) AS avg_ms, sum(took * took // 1000)::BIGINT AS busy_ms FROM run GROUP BY 1),
+u AS (SELECT executor_id, 2 AS cores, tasks, avg_ms, busy_ms, 50000000 AS span_ms, 100.0::DOUBLE * busy_ms / 100000000 AS utilisation_pct, 'h' || executor_id AS host, (executor_id::BIGINT + 1) * 1000 AS memory FROM t)
+SELECT *, CASE WHEN utilisation_pct < 30 THEN 'idle' WHEN utilisation_pct < 50 THEN 'low' WHEN utilisation_pct < 80 THEN 'good' ELSE 'busy' END AS verdict FROM u"""
+)
+def log_executors(spark, sf_dir):
+    return event_log_report.executor_use(application_log(spark, sf_dir))
+
+
+@query(
+    """WITH q AS (SELECT event_id AS run, event_id % 300 = 0 AS ended, event_id % 900 = 0 AS failed FROM events WHERE event_id % 100 = 0),
+p AS (SELECT event_id - event_id % 100 AS run, count(*) AS batches FROM events GROUP BY 1)
+SELECT count(*) AS queries, count(*) FILTER (ended AND NOT failed) AS succeeded, count(*) FILTER (ended AND failed) AS failed, avg(coalesce(batches, 0)) AS avg_batches, sum(2 * coalesce(batches, 0))::BIGINT AS rows FROM q LEFT JOIN p USING (run)"""
+)
+def log_streaming(spark, sf_dir):
+    return event_log_report.streaming(application_log(spark, sf_dir))
+
+
+@query(
+    "SELECT unnest([" + ", ".join(f"'{k}'" for k in event_log_report.SETTINGS) + "]) AS key, CASE key WHEN 'spark.app.name' THEN 'made' ELSE 'N/A' END AS value UNION ALL SELECT 'my.kafka.servers', 'k:9092'"
+)
+def log_configuration(spark, sf_dir):
+    return event_log_report.configuration(application_log(spark, sf_dir))
 
 
 @query(

@@ -115,7 +115,9 @@ def main(path: str) -> None:
     events = event_log.read(spark, path).persist()
     for name, report in REPORTS.items():
         print(f"== {name}")
-        report(events).show(50, truncate=80)
+        found = report(events).persist()
+        found.show(max(found.count(), 1), truncate=False)  # whole: reports that are lists of the highest are cut already
+        found.unpersist()
 
 
 if __name__ == "__main__":

@@ -6,6 +6,12 @@ Lines are read as text and parsed against a fixed schema of the fields the repor
 
 from __future__ import annotations
 
+import gzip
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +37,52 @@ _SQL = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
 _STREAM = "org.apache.spark.sql.streaming.StreamingQueryListener$Query"
 
 
+#: Endings of the compressed files that Spark writes and archives hold; none of them can be split.
+COMPRESSED = (".zstd", ".zst", ".gz")
+#: Characters of the lines that a worker hands over at once.
+BATCH = 4 << 20
+
+
+def _unpacked(path: str, content: pa.Scalar) -> io.BufferedIOBase:
+    stream = pa.BufferReader(content.as_buffer())
+    if path.endswith(".gz"):
+        return gzip.GzipFile(fileobj=stream)
+    return io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(stream, read_across_frames=True))
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of whole compressed files; a file is decoded as it is read, so only its compressed bytes are held."""
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            stream = _unpacked(path, content)
+            while held := stream.readlines(BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array([x.decode("utf-8", "replace") for x in held])], ["value"])
+
+
 def read(spark: SparkSession, path: str, pattern: str = "events_*") -> DataFrame:
-    """The events of a file or a rolling log's folder; compressed files are read as they are."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(path) if pattern else spark.read.text(path)
+    """The events of a file or a rolling log's folder.
+
+    Plain files are split as usual.  A compressed one (``COMPRESSED``, optionally with ``.compact`` behind) is one task,
+    since its middle can't be found; Spark's rolling logs bound such files.  Without any file the result is empty.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern or "*").load(path)
+    names = [r[0] for r in found.select("path").collect()]  # the files of one application's log
+    packed = [n for n in names if n.removesuffix(".compact").endswith(COMPRESSED)]
+    plain = [n for n in names if n not in set(packed)]
+    lines = spark.createDataFrame([], "value string")
+    if plain:
+        lines = lines.unionByName(spark.read.text([_quoted(n) for n in plain]))
+    if packed:
+        whole = spark.read.format("binaryFile").load([_quoted(n) for n in packed])
+        lines = lines.unionByName(whole.select(F.regexp_replace("path", r"\.compact$", "").alias("path"), "content").mapInArrow(_lines, "value string"))
     return lines.select(F.from_json("value", SCHEMA, {"mode": "PERMISSIVE"}).alias("e")).select("e.*").where("`Event` is not null")
 
 
+def _quoted(name: str) -> str:
+    """A listed path as a pattern that only it matches."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in name)
+
+
 def _of(events: DataFrame, name: str) -> DataFrame:
     return events.where(F.col("Event") == name)
 

@@ -224,6 +224,9 @@ class Derby(Database):
 
     @classmethod
     def memory(cls, spark: SparkSession, name: str) -> Derby:
+        system = spark.sparkContext._jvm.java.lang.System
+        if system.getProperty("derby.stream.error.file") is None:  # else it writes a log beside whoever runs it
+            system.setProperty("derby.stream.error.file", "/dev/null")
         return cls(spark, {"url": f"jdbc:derby:memory:{name};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
 
     def quoted(self, column: str) -> str:

@@ -74,4 +74,5 @@ def inspect(spark: SparkSession, table: str) -> dict[str, DataFrame]:
 
 
 def views(spark: SparkSession, schema: str) -> list[str]:
-    return [r["viewName"] for r in spark.sql(f"SHOW VIEWS IN `{checked(schema)}`").collect()]
+    """The schema's own views; the statement lists every session's temporary views beside them."""
+    return [r["viewName"] for r in spark.sql(f"SHOW VIEWS IN `{checked(schema)}`").collect() if not r["isTemporary"]]
