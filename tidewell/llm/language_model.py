@@ -6,14 +6,17 @@ learned by expectation-maximisation on the deleted part's counts.  Scores use th
 
 N-grams are never rows.  Documents are cut into chunks of some million tokens, written once as number arrays.  A chunk
 asks for the counts of its distinct n-grams: sorted 64-bit keys, dealt by key to buckets of bounded size, one packed row
-per chunk and bucket, with the chunk's own counts.  A bucket adds up what all chunks hold and answers in the order asked.
-A frequent n-gram is therefore one entry per chunk, however many documents hold it.
+per chunk and bucket that it has keys for, with the chunk's own counts.  A bucket adds up what all chunks hold and answers
+in the order asked.  A frequent n-gram is therefore one entry per chunk, however many documents hold it.
+
+Expectation-maximisation is exact: held-out pairs whose three counts agree are one row, and each round is a sum over those
+rows by context bucket.  The number of tasks follows the data, so a task's share doesn't grow with it.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -30,11 +33,14 @@ from tidewell.llm.common import doc_fold, lowered_words, mix64, stash, text_slic
 CHUNK_BYTES = 8 << 20
 #: Distinct n-grams that a bucket is asked for, about.
 BUCKET_ENTRIES = 700_000
+#: Entries asked for, and tokens of chunks answered, in one task, about.
+TASK_ENTRIES = 2_800_000
+#: Rows that EM runs on in the driver, at most; more stay where they are, and every round sums them there.
+EM_ROWS = 200_000
 #: The end of a text; no word holds a line break.
 END = b"\n"
 TESTED, DELETED, RETAINED = 0, 1, 2
-_STEPS = 4  # of a factor of two, in the table that EM runs on
-_WIDE = 200
+CONTEXTS = 64
 _KEEP = 1e-6
 
 
@@ -115,8 +121,10 @@ class _Grams:
         keys = np.concatenate([mix64(hashes), mix64(keys)])
         bucket = (keys % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
         self.order = np.argsort(bucket, kind="stable").astype(np.int32)
-        self.ends = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+        held, first = np.unique(bucket[self.order], return_index=True)
         del bucket
+        #: The buckets that the chunk has keys for, and where each one's keys begin and end.
+        self.buckets, self.ends = held.astype(np.int64), np.append(first, len(self.order))
         self.keys = keys[self.order]
         del keys
         self.n = np.concatenate([np.bincount(self.tokens, minlength=self.n_words), np.bincount(self.pair_of, minlength=len(self.context))])
@@ -125,8 +133,8 @@ class _Grams:
     def answered(self, rows: pd.DataFrame, column: str) -> tuple[np.ndarray, np.ndarray]:
         """Global counts of the words and of the pairs."""
         out = np.zeros(len(self.keys), np.int64)
-        for bucket, data in zip(rows["bucket"], rows[column], strict=True):
-            lo, hi = self.ends[bucket], self.ends[bucket + 1]
+        for at, data in zip(np.searchsorted(self.buckets, rows["bucket"].to_numpy()).tolist(), rows[column], strict=True):
+            lo, hi = self.ends[at], self.ends[at + 1]
             out[self.order[lo:hi]] = _unpack(data, np.int64, hi - lo)
         return out[: self.n_words], out[self.n_words :]
 
@@ -142,11 +150,10 @@ def _ask(chunks: DataFrame, buckets: int) -> DataFrame:
                 row = batch.slice(at, 1).to_pylist()[0]
                 grams = _Grams(row, buckets)
                 held = grams.n[grams.order]
-                out = []
-                for b in range(buckets):
-                    lo, hi = grams.ends[b], grams.ends[b + 1]
-                    if lo < hi:
-                        out.append((b, row["chunk"], row["part"], hi - lo, int(grams.is_word[lo:hi].sum()), grams.keys[lo:hi].tobytes(), _pack(held[lo:hi])))
+                out = [
+                    (b, row["chunk"], row["part"], hi - lo, int(grams.is_word[lo:hi].sum()), grams.keys[lo:hi].tobytes(), _pack(held[lo:hi]))
+                    for b, lo, hi in zip(grams.buckets.tolist(), grams.ends[:-1].tolist(), grams.ends[1:].tolist(), strict=True)
+                ]
                 kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 for at in range(0, len(out), 256):
                     columns = zip(*out[at : at + 256], strict=True)
@@ -192,24 +199,25 @@ def frequency_bucket(n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, np.floor(np.log2(np.maximum(n, 1))).astype(np.int64) + 1, 0)
 
 
-def expectation_maximisation(bucket: np.ndarray, held: np.ndarray, bigram: np.ndarray, unigram: np.ndarray, uniform: float, buckets: int = 64, rounds: int = 60) -> np.ndarray:
+def learned_weights(total: np.ndarray, shares: Callable[[np.ndarray], np.ndarray], rounds: int = 60) -> np.ndarray:
     """Weights of (bigram, unigram, uniform) by context bucket that make the held-out counts likeliest.
 
-    Each weight stays at least a millionth (the bigram's in bucket 0 is 0).  A bucket without counts has the weights of
-    the next lower one that has some, or else of the next higher one.
+    ``total`` are held-out counts by bucket; ``shares(weights)`` are, by bucket, the parts of them that the three estimates
+    account for under ``weights``.  Each weight stays at least a millionth (the bigram's in bucket 0 is 0).  A bucket without
+    counts has the weights of the next lower one that has some, or else of the next higher one.  Rounds end early when no
+    weight moves by more than 1e-10.
     """
-    p = np.stack([bigram, unigram, np.full(len(held), uniform)])
+    buckets = len(total)
     weights = np.full((buckets, 3), 1 / 3)
     weights[0] = (0.0, 0.5, 0.5)
-    total = np.bincount(bucket, held, buckets)
     for _ in range(rounds):
-        mixed = weights[bucket].T * p
-        shares = mixed / np.maximum(mixed.sum(axis=0), 1e-300) * held
-        new = np.stack([np.bincount(bucket, s, buckets) for s in shares], axis=1)
-        weights = np.where(total[:, None] > 0, new / np.maximum(total, 1e-300)[:, None], weights)
+        before = weights
+        weights = np.where(total[:, None] > 0, shares(weights) / np.maximum(total, 1e-300)[:, None], weights)
         weights = np.maximum(weights, _KEEP)
         weights[0, 0] = 0.0
         weights /= weights.sum(axis=1, keepdims=True)
+        if np.abs(weights - before).max() <= 1e-10:
+            break
     seen = np.flatnonzero(total[1:] > 0) + 1
     for b in range(1, buckets):
         if total[b] == 0 and len(seen):
@@ -218,7 +226,40 @@ def expectation_maximisation(bucket: np.ndarray, held: np.ndarray, bigram: np.nd
     return weights
 
 
-CELLS = "cell long, held double, bigram double, unigram double"
+def expectation_maximisation(bucket: np.ndarray, held: np.ndarray, bigram: np.ndarray, unigram: np.ndarray, uniform: float, buckets: int = CONTEXTS, rounds: int = 60) -> np.ndarray:
+    """:func:`learned_weights` of counts in arrays."""
+    p = np.stack([bigram, unigram, np.full(len(held), uniform)])
+
+    def shares(weights: np.ndarray) -> np.ndarray:
+        mixed = weights[bucket].T * p
+        parts = mixed / np.maximum(mixed.sum(axis=0), 1e-300) * held
+        return np.stack([np.bincount(bucket, x, buckets) for x in parts], axis=1)
+
+    return learned_weights(np.bincount(bucket, held, buckets), shares, rounds)
+
+
+def expectation_maximisation_of(table: DataFrame, uniform: float) -> np.ndarray:
+    """:func:`learned_weights` of the rows of ``table(bucket, held, bigram, unigram)``, which may be many."""
+    head = table.limit(EM_ROWS + 1).toPandas()
+    if len(head) <= EM_ROWS:
+        return expectation_maximisation(*(head[c].to_numpy() for c in ("bucket", "held", "bigram", "unigram")), uniform)
+    total = np.zeros(CONTEXTS)
+    for r in table.groupBy("bucket").agg(F.sum("held")).collect():  # a row for each bucket
+        total[r[0]] = r[1]
+
+    def shares(weights: np.ndarray) -> np.ndarray:
+        of = [F.get(F.array(*map(F.lit, weights[:, i].tolist())), F.col("bucket")) * p for i, p in enumerate((F.col("bigram"), F.col("unigram"), F.lit(uniform)))]
+        mixed = table.select("bucket", "held", *[x.alias(f"p{i}") for i, x in enumerate(of)])
+        each = F.col("held") / F.greatest(F.col("p0") + F.col("p1") + F.col("p2"), F.lit(1e-300))
+        out = np.zeros((CONTEXTS, 3))
+        for r in mixed.groupBy("bucket").agg(*[F.sum(each * F.col(f"p{i}")) for i in range(3)]).collect():
+            out[r[0]] = r[1:]
+        return out
+
+    return learned_weights(total, shares)
+
+
+HELD = "context long, pair long, word long, held long"
 
 
 def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
@@ -238,39 +279,43 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     if not sizes:
         return spark.createDataFrame([], result)
     n_all, n_retained = sizes.get(RETAINED, 0) + sizes.get(DELETED, 0), sizes.get(RETAINED, 0)
-    buckets = max(1, -(-sum(sizes.values()) // BUCKET_ENTRIES))
-    answers = stash(_ask(chunks, buckets).groupBy("bucket").applyInPandas(_answer, ANSWERS), "lm-answers", codec="uncompressed", files_per_core=4)
+    buckets, tasks = (max(1, -(-sum(sizes.values()) // n)) for n in (BUCKET_ENTRIES, TASK_ENTRIES))
+    asked = _ask(chunks, buckets).repartition(tasks, "bucket")
+    answers = stash(asked.groupBy("bucket").applyInPandas(_answer, ANSWERS), "lm-answers", codec="uncompressed")
     vocabulary = answers.agg(F.sum("distinct")).first()[0]
     uniform = 1.0 / (vocabulary + 1)
 
-    def cells(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        """A deleted chunk's pairs, gathered by context bucket and rough size of their estimates."""
+    def held_out(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        """A deleted chunk's pairs: how often each occurs there, and the retained counts of its context, itself and its word."""
         grams = _Grams(own.iloc[0].to_dict(), buckets)
         (w_all, p_all), (w_del, p_del) = grams.answered(found, "n_all"), grams.answered(found, "n_deleted")
         words, pairs = w_all - w_del, p_all - p_del
-        held = grams.n[grams.n_words :].astype(float)
-        context = words[grams.context]
-        bigram = np.where(context > 0, pairs / np.maximum(context, 1), 0.0)
-        unigram = words[grams.word] / max(n_retained, 1)
-        rough = [np.where(p > 0, np.clip(1 - _STEPS * np.log2(np.maximum(p, 1e-300)), 1, _WIDE - 1).astype(np.int64), 0) for p in (bigram, unigram)]
-        cell, where = np.unique((frequency_bucket(context) * _WIDE + rough[0]) * _WIDE + rough[1], return_inverse=True)
-        return pd.DataFrame({"cell": cell} | {name: np.bincount(where, held * x) for name, x in (("held", 1.0), ("bigram", bigram), ("unigram", unigram))})
+        context, word, held = words[grams.context], words[grams.word], grams.n[grams.n_words :]
+        order = np.lexsort((word, pairs, context))
+        context, pairs, word = context[order], pairs[order], word[order]
+        first = np.flatnonzero(np.append(True, (np.diff(context) != 0) | (np.diff(pairs) != 0) | (np.diff(word) != 0)))
+        return pd.DataFrame({"context": context[first], "pair": pairs[first], "word": word[first], "held": np.add.reduceat(held[order], first)})
 
     def joined(fn, schema: str, part: int | None = None) -> DataFrame:
         a, b = (chunks, answers) if part is None else (chunks.where(F.col("part") == part), answers.where(F.col("part") == part))
-        return a.groupBy("chunk").cogroup(b.drop("part", "distinct").groupBy("chunk")).applyInPandas(fn, schema)
-
-    table = (
-        joined(cells, CELLS, DELETED)
-        .groupBy("cell")
-        .agg(F.sum("held").alias("held"), F.sum("bigram").alias("bigram"), F.sum("unigram").alias("unigram"))
-        .toPandas()  # a fixed number of cells at most: context buckets x _WIDE x _WIDE
-        .sort_values("cell")
-    )
-    h = table["held"].to_numpy()
-    weights = expectation_maximisation(
-        table["cell"].to_numpy() // (_WIDE * _WIDE), h, table["bigram"].to_numpy() / np.maximum(h, 1e-300), table["unigram"].to_numpy() / np.maximum(h, 1e-300), uniform
+        share = tasks if part is None else max(1, -(-tasks * sizes.get(part, 0) // sum(sizes.values())))
+        a, b = a.repartition(share, "chunk"), b.drop("part", "distinct").repartition(share, "chunk")
+        return a.groupBy("chunk").cogroup(b.groupBy("chunk")).applyInPandas(fn, schema)
+
+    context, pair, word = F.col("context"), F.col("pair"), F.col("word")
+    table = stash(
+        joined(held_out, HELD, DELETED)
+        .groupBy("context", "pair", "word")
+        .agg(F.sum("held").cast("double").alias("held"))
+        .select(
+            F.when(context > 0, F.length(F.bin(context))).otherwise(0).cast("int").alias("bucket"),
+            "held",
+            F.when(context > 0, pair / context).otherwise(0.0).alias("bigram"),
+            (word / F.lit(max(n_retained, 1))).alias("unigram"),
+        ),
+        "lm-held",
     )
+    weights = expectation_maximisation_of(table, uniform)
 
     def score(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         row = own.iloc[0].to_dict()
