@@ -1,16 +1,18 @@
 """Sharding of documents by best-fit-decreasing bin packing.
 
-Indivisible groups (documents with equal texts) are packed into fixed-capacity shards.  Groups of at least
-``1 / (head_per_shard * shards)`` of all bytes are placed one by one; there can be at most ``head_per_shard * shards`` of
-them.  The smaller ones are first gathered, by a hash of their text, into at most ``bundles_per_shard * shards`` bundles.
-So what the driver packs has a fixed bound, whatever the size of the corpus, and no text is ever shuffled.
+Indivisible groups (documents with equal texts) are packed into fixed-capacity shards.  The large ones (a bounded number:
+those of at least one part in ``head_per_shard`` of a shard) are placed one by one in the driver, largest first, each into
+the tightest remaining capacity that a balanced tree finds.  What follows in decreasing order is small beside every shard,
+and best fit then fills the tightest shard to its end before it turns to the next; so the small groups are laid out end to
+end, larger size classes first, over the remaining capacities, tightest first, by a distributed running sum.  Where a
+group would cross from one shard to the next (at most one for each shard), it is put back and placed by the tree, too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Iterable
+from collections.abc import Hashable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,46 +110,110 @@ class CapacityTree:
         return node[0]
 
 
-def best_fit_decreasing(items: Iterable[tuple[Hashable, int]], capacity: int | None = None, shards: int | None = None) -> dict[Hashable, int]:
-    """Bin of each (name, size) item.
+class Bins:
+    """Bins that take items by best fit.
 
-    With ``capacity`` alone, bins of that capacity are opened as needed (a larger item has a bin of its own).  With
-    ``shards`` alone, that many bins share the total equally: an item above the fair share of what is left takes a bin
-    for itself, and what fits no bin enters the roomiest one.  Ties go by name, then by the lower bin.
+    With ``capacity``, bins of that capacity are opened as needed (a larger item has a bin of its own).  With ``shards``,
+    that many bins share the total equally: the first items, as long as they are above the fair share of what is left, take
+    a bin each, and what fits no bin enters the roomiest one.
     """
-    order = sorted(items, key=lambda x: (-x[1], str(x[0])))
-    placed: dict[Hashable, int] = {}
-    if shards is None:
-        if capacity is None or capacity <= 0:
+
+    def __init__(self, capacity: int | None = None, shards: int | None = None, total: int = 0) -> None:
+        if shards is None and (capacity is None or capacity <= 0):
             raise ValueError("capacity must be positive where shards isn't given")
-        tree, opened = CapacityTree(), 0
-        for name, size in order:
-            found = tree.tightest(size)
-            if found is None:
-                found = (max(capacity, size), opened)
-                opened += 1
-            else:
-                tree.remove(found)
-            placed[name] = found[1]
-            tree.add((found[0] - size, found[1]))
-        return placed
-    left, free, start = sum(size for _, size in order), shards, 0
-    while start < len(order) and free > 1 and order[start][1] * free > left:
-        placed[order[start][0]] = shards - free
-        left, free, start = left - order[start][1], free - 1, start + 1
-    tree, share = CapacityTree(), -(-left // free)
-    for b in range(shards - free, shards):
-        tree.add((share, b))
-    for name, size in order[start:]:
-        found = tree.tightest(size) or tree.roomiest()
-        tree.remove(found)
-        placed[name] = found[1]
-        tree.add((found[0] - size, found[1]))
-    return placed
-
-
-def pack_shards(docs: DataFrame, shards: int = 16, head_per_shard: int = 4096, bundles_per_shard: int = 1024, rows_per_cell: int = 1000) -> DataFrame:
-    """Put every row of ``docs(doc_id, text, ...)`` into one of ``shards`` shards of near-equal bytes.
+        self.capacity, self.shards, self.left, self.opened = capacity, shards, total, 0
+        self.room: dict[int, int] = {}
+        self.tree: CapacityTree | None = None if shards else CapacityTree()
+
+    def _share_out(self) -> None:
+        """Open the shards that no oversized item took."""
+        self.tree, free = CapacityTree(), self.shards - self.opened
+        for b in range(self.opened, self.shards):
+            self.room[b] = -(-self.left // free)
+            self.tree.add((self.room[b], b))
+        self.opened = self.shards
+
+    def place(self, size: int) -> int:
+        if self.tree is None:
+            free = self.shards - self.opened
+            if free > 1 and size * free > self.left:
+                self.left, self.opened = self.left - size, self.opened + 1
+                self.room[self.opened - 1] = 0
+                return self.opened - 1
+            self._share_out()
+        found = self.tree.tightest(size)
+        if found is None and self.shards is None:
+            found = (max(self.capacity, size), self.opened)
+            self.opened += 1
+        else:
+            found = found or self.tree.roomiest()
+            self.tree.remove(found)
+        self.room[found[1]] = found[0] - size
+        self.tree.add((self.room[found[1]], found[1]))
+        return found[1]
+
+    def spread(self, size: int) -> list[tuple[int, int]]:
+        """Stretches (room, bin), tightest first, that ``size`` is laid over in small pieces; all that room is used up."""
+        if self.tree is None:
+            self._share_out()
+        out, held = [], 0
+        rooms = sorted((r, b) for b, r in self.room.items() if r > 0)
+        if self.shards is not None:  # where a bin holds more than its share, the others share what that leaves
+            over = sum(r for r, _ in rooms) - size
+            for at, (r, _) in enumerate(rooms):
+                less = over // (len(rooms) - at)
+                if less < r:
+                    rooms = [(r - less, b) for r, b in rooms[at:]]
+                    break
+                over -= r
+        for room, b in rooms:
+            if held >= size:
+                break
+            out.append((room, b))
+            held += room
+        while held < size and self.shards is None:
+            out.append((self.capacity, self.opened))
+            self.room[self.opened] = self.capacity
+            self.tree.add((self.capacity, self.opened))
+            held += self.capacity
+            self.opened += 1
+        return out
+
+    def used(self, b: int, size: int) -> None:
+        """``size`` more is in bin ``b``."""
+        if size:
+            self.tree.remove((self.room[b], b))
+            self.room[b] -= size
+            self.tree.add((self.room[b], b))
+
+
+def best_fit_decreasing(items: Iterable[tuple[Hashable, int]], capacity: int | None = None, shards: int | None = None) -> dict[Hashable, int]:
+    """Bin of each (name, size) item by :class:`Bins`, largest first; ties go by name, then by the lower bin."""
+    order = sorted(items, key=lambda x: (-x[1], str(x[0])))
+    bins = Bins(capacity, shards, sum(size for _, size in order))
+    return {name: bins.place(size) for name, size in order}
+
+
+def _running(cells: DataFrame, order: Sequence[Column], amount: str) -> DataFrame:
+    """``cells`` with ``before``: the sum of ``amount`` over all cells that come earlier in ``order``, which has no ties.
+
+    Two steps, so no task holds all cells: sums within ranges of the order, then over the ranges, of which there are as
+    many as the range partitioner makes.
+    """
+    parts = max(1, cells.sparkSession.sparkContext.defaultParallelism)
+    ranged = stash(cells.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "shard-ranges")
+    sums = {r[0]: r[1] for r in ranged.groupBy("range").agg(F.sum(amount)).collect()}
+    base, at = {}, 0
+    for k in sorted(sums):
+        base[k], at = at, at + sums[k]
+    start = F.element_at(F.create_map(*[F.lit(x) for k, v in base.items() for x in (k, v)]), F.col("range")) if base else F.lit(0)
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.withColumn("before", start + F.coalesce(F.sum(amount).over(within), F.lit(0))).drop("range")
+
+
+def pack_shards(docs: DataFrame, shards: int | None = 16, capacity: int | None = None, head_per_shard: int = 4096, rows_per_cell: int = 1000) -> DataFrame:
+    """Put every row of ``docs(doc_id, text, ...)`` into a shard: one of ``shards`` of near-equal bytes, or, with ``shards``
+    None, of as few shards of ``capacity`` bytes as best-fit-decreasing packing takes (a group above it has its own).
 
     Returns doc_id, size (UTF-8 bytes of the text plus 1), text_crc32 (unsigned), law ('bytes'), shard, slot (gapless
     from 0 within the shard) and grown_shard (null).  Equal texts stay in one shard.  A null text has no bytes: size 1,
@@ -155,6 +221,7 @@ def pack_shards(docs: DataFrame, shards: int = 16, head_per_shard: int = 4096, b
     gives an empty result; other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
+    Bins(capacity, shards)  # refuses what can't be packed
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = stash(
         docs.select(
@@ -165,35 +232,63 @@ def pack_shards(docs: DataFrame, shards: int = 16, head_per_shard: int = 4096, b
         ),
         "shard-rows",
     )
-    groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    total = rows.agg(F.sum("size")).first()[0]
+    groups = stash(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), "shard-groups")
+    total, n_rows = groups.agg(F.sum("bytes"), F.sum("rows")).first()
     if total is None:
         return spark.createDataFrame([], SCHEMA)
-    is_head = F.col("bytes") * F.lit(shards * head_per_shard) >= F.lit(total)
-    bundle = F.pmod(F.xxhash64("group"), F.lit(shards * bundles_per_shard)).cast("string")
-    units = (
-        groups.withColumn("unit", F.when(is_head, F.col("group")).otherwise(bundle))
-        .groupBy("unit")
-        .agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
-        .collect()  # at most shards * (head_per_shard + bundles_per_shard) rows
-    )
-    placed = best_fit_decreasing([(u.unit, u.bytes) for u in units], shards=shards)
-    schema = T.StructType([T.StructField("unit", T.StringType()), T.StructField("shard", T.IntegerType()), T.StructField("salts", T.LongType())])
-    plan = F.broadcast(spark.createDataFrame([(u.unit, placed[u.unit], -(-u.rows // rows_per_cell)) for u in units], schema))
-    heads = F.broadcast(plan.where(F.length("unit") == 32).select(F.col("unit").alias("group"), F.lit(True).alias("head")))
-
-    placed_rows = (
-        rows.join(heads, "group", "left")
-        .withColumn("unit", F.when(F.col("head"), F.col("group")).otherwise(bundle))
-        .join(plan, "unit")
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id", "size"), F.col("salts")))
+    wanted = shards or -(-total // capacity)
+    pieces = max(64, min(head_per_shard, (1 << 18) // wanted))
+    # at most 2 * pieces * wanted groups have that part of the bytes or rows; of each, the driver holds a name and a number
+    part = F.lit(pieces * wanted)
+    is_head = (F.col("bytes") * part >= F.lit(total)) | (F.col("rows") * part >= F.lit(n_rows))
+    head = sorted(((r[0], r[1]) for r in groups.where(is_head).select("group", "bytes").collect()), key=lambda x: (-x[1], x[0]))
+    bins = Bins(capacity, shards, total)
+    placed = [(name, bins.place(size)) for name, size in head]
+
+    # the others: cells of one size class and a part of its groups, laid out one after the other
+    tail = groups.where(~is_head)
+    n_tail = tail.count()
+    chosen = tail.select("group", "bytes", F.lit(None).cast("int").alias("shard")).where("false")
+    if n_tail:
+        salts = max(1, n_tail // 200)
+        cell = [F.length(F.bin("bytes")).alias("class"), F.pmod(F.xxhash64("group"), F.lit(salts)).alias("salt")]
+        tail = tail.select("group", "bytes", *cell)
+        cells = _running(tail.groupBy("class", "salt").agg(F.sum("bytes").alias("held")), [F.col("class").desc(), F.col("salt")], "held")
+        within = Window.partitionBy("class", "salt").orderBy(F.col("bytes").desc(), "group").rowsBetween(Window.unboundedPreceding, -1)
+        begin = F.col("before") + F.coalesce(F.sum("bytes").over(within), F.lit(0))
+        laid = tail.join(cells.select("class", "salt", "before"), ["class", "salt"]).select("group", "bytes", begin.alias("begin"))
+        stretches = bins.spread(total - sum(size for _, size in head))
+        bounds, at = [], 0
+        for room, b in stretches:
+            bounds.append((b, at, at + room))
+            at += room
+        laid = stash(_into(laid, bounds), "shard-tail")
+        crossing = F.col("begin") + F.col("bytes") > F.col("upto")
+        filled = laid.where(~crossing).groupBy("bin").agg(F.sum("bytes")).collect()  # a row for each shard
+        for b, size in filled:
+            bins.used(b, size)
+        over = sorted(((r[0], r[1]) for r in laid.where(crossing).select("group", "bytes").collect()), key=lambda x: (-x[1], x[0]))  # one for each shard, at most
+        placed += [(name, bins.place(size)) for name, size in over]
+        chosen = laid.where(~crossing).select("group", F.col("bin").alias("shard"))
+    # rows of large groups meet their plan where they are, the others in a shuffle without hot keys; a cell is a part of the
+    # small groups, or of one large group
+    schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("shard", T.IntegerType())])
+    large = F.broadcast(spark.createDataFrame(placed[: len(head)], schema).join(groups.where(is_head), "group").select("group", "shard", F.ceil(F.col("rows") / rows_per_cell).alias("salts")))
+    small = stash(chosen.select("group", "shard").unionByName(spark.createDataFrame(placed[len(head) :], schema)), "shard-plan")
+    known = rows.join(large, "group", "left")
+    of_large = known.where("shard is not null").select(
+        "doc_id", "size", "text_crc32", "shard", F.concat(F.col("group"), F.lit("/"), F.pmod(F.xxhash64("doc_id", "size"), F.col("salts")).cast("string")).alias("cell")
     )
-    # a shard's slots: cells of bounded size get an offset each, rows are numbered within their cell
-    cells = placed_rows.groupBy("shard", "unit", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("unit", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(F.col("unit").alias("u"), F.col("salt").alias("s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("unit", "salt").orderBy("doc_id", "text_crc32")
-    return placed_rows.join(cells, (F.col("unit") == F.col("u")) & (F.col("salt") == F.col("s"))).select(
+    of_small = known.where("shard is null").drop("shard", "salts").join(small, "group").select(
+        "doc_id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("group"), F.lit(max(1, n_rows // rows_per_cell))).cast("string").alias("cell")
+    )
+    placed_rows = of_large.unionByName(of_small)
+    placed_rows = stash(placed_rows, "shard-placed")
+    cells = _running(placed_rows.groupBy("shard", "cell").agg(F.count("*").alias("n")), [F.col("shard"), F.col("cell")], "n")
+    first = cells.groupBy("shard").agg(F.min("before").alias("first"))
+    cells = cells.join(first, "shard").select(F.col("shard").alias("s"), F.col("cell").alias("c"), (F.col("before") - F.col("first")).alias("offset"))
+    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32")
+    return placed_rows.join(cells, (F.col("shard") == F.col("s")) & (F.col("cell") == F.col("c"))).select(
         "doc_id",
         "size",
         "text_crc32",
@@ -202,3 +297,19 @@ def pack_shards(docs: DataFrame, shards: int = 16, head_per_shard: int = 4096, b
         (F.col("offset") + F.row_number().over(within) - 1).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _into(laid: DataFrame, bounds: list[tuple[int, int, int]]) -> DataFrame:
+    """``laid`` with the bin of the stretch that ``begin`` is in, and that stretch's end.  The stretches hold all of ``laid``."""
+    spark = laid.sparkSession
+    starts = [b[1] for b in bounds]
+    place = F.lit(0)
+    if len(bounds) <= 64:
+        for s in starts[1:]:
+            place = place + (F.col("begin") >= s).cast("int")
+        of = lambda k: F.get(F.array(*[F.lit(b[k]) for b in bounds]), F.col("k"))
+        return laid.withColumn("k", place).select("group", "bytes", "begin", of(0).alias("bin"), of(2).alias("upto"))
+    table = spark.createDataFrame(bounds, "bin int, low long, upto long")
+    step = max(1, bounds[-1][2] // len(bounds))
+    grid = table.select("bin", "low", "upto", F.explode(F.sequence(F.floor(F.col("low") / step), F.floor((F.col("upto") - 1) / step))).alias("g"))
+    return laid.withColumn("g", F.floor(F.col("begin") / step)).join(grid, "g").where("begin >= low and begin < upto").select("group", "bytes", "begin", "bin", "upto")
