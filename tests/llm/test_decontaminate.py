@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 from tests.llm.helpers import docs
 from tidewell.llm import decontaminate as dc
@@ -21,14 +22,34 @@ def brute_force(rows, items, window=13):
                 for s in range(len(w) - len(p) + 1):
                     if w[s : s + len(p)] == p:
                         hit |= set(range(s, s + len(p)))
-                        found.add(-1 if item is None else item)
+                        found.add("null" if item is None else item)
         sha = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
         out.append((d, len(w), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=repr)
 
 
+def proximity(rows, items, window=13, slack=dc.SLACK):
+    """Ids of items that match by proximity, for each row in order."""
+    words = lambda t: WORD.findall((t or "").translate(LOWER))
+    texts = [words(t) for _, t in rows]
+    often = Counter(w for t in texts for w in t)
+    out = [set() for _ in rows]
+    for item, t in items:
+        i = words(t)
+        for k in range(max(1, len(i) - window + 1) if i else 0):
+            p = i[k : k + window]
+            if any(not often[w] for w in p):
+                continue
+            rarest, reach = min(p, key=lambda w: often[w]), len(p) + slack - 1
+            for found, text in zip(out, texts, strict=True):
+                for at in (x for x, w in enumerate(text) if w == rarest):
+                    if set(p) <= set(text[max(0, at - reach) : at + reach + 1]):
+                        found.add(item)
+    return out
+
+
 def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    return sorted((tuple(r)[:6] for r in df.collect()), key=repr)
 
 
 def made(seed):
@@ -46,8 +67,9 @@ def made(seed):
 
 
 def test_contamination_against_brute_force(spark, monkeypatch):
-    for seed, part in ((1, dc.PART_WORDS), (2, 3)):
-        monkeypatch.setattr(dc, "PART_WORDS", part)  # many small parts must not matter
+    for seed, part, size in ((1, dc.BLOCK_WINDOWS, dc.SLICE), (2, 20, 700)):  # many small blocks and slices must not matter
+        monkeypatch.setattr(dc, "BLOCK_WINDOWS", part)
+        monkeypatch.setattr(dc, "SLICE", size)
         rows, items = made(seed)
         tests = spark.createDataFrame(items, "item_id long, text string")
         want = brute_force(rows, items)
@@ -72,8 +94,18 @@ def test_awkward_rows(spark):
 
 def test_proximity(spark):
     tests = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
-    rows = [(1, "alpha x beta y gamma"), (2, "gamma beta alpha"), (3, "alpha " + "x " * 9 + "beta gamma"), (4, "alpha beta"), (5, "Alpha, Beta; gamma!")]
-    got = {r.doc_id: r["items"] for r in dc.find_matches(docs(spark, rows), tests, slack=2).collect()}
-    assert got == {1: [1], 2: [1], 3: [], 4: [], 5: [1]}
-    exact = {r.doc_id: r["items"] for r in dc.find_matches(docs(spark, rows), tests).collect()}
-    assert exact == {1: [], 2: [], 3: [], 4: [], 5: [1]}
+    rows = [(1, "alpha x beta y gamma"), (2, "gamma beta alpha"), (3, "alpha " + "x " * 9 + "beta gamma"), (4, "alpha beta"), (5, "gamma"), (6, "Alpha, Beta; gamma!")]
+    got = {r.doc_id: (r["items"], r.near) for r in dc.find_matches(docs(spark, rows).coalesce(1), tests, slack=2).collect()}
+    assert got == {1: ([], [1]), 2: ([], [1]), 3: ([], []), 4: ([], []), 5: ([], []), 6: ([1], [1])}
+
+
+def test_proximity_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(dc, "SLICE", 900)
+    for seed in (4, 5):
+        rows, items = made(seed)
+        rng = random.Random(seed)
+        rows = [(i, " ".join(w for w in re.split("[ ,\n]", t) for w in ([w, f"n{rng.randint(0, 30)}"] if rng.random() < 0.3 else [w]))) for i, t in rows]
+        tests = spark.createDataFrame(items, "item_id long, text string")
+        got = {r.doc_id: set(r.near) for r in dc.find_matches(docs(spark, rows), tests).collect()}
+        want = dict(zip([i for i, _ in rows], proximity(rows, items), strict=True))
+        assert got == want and 0 < sum(map(bool, want.values()))
