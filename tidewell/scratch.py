@@ -36,14 +36,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stash(df: DataFrame, label: str, codec: str = "lz4_raw", files_per_core: int | None = None) -> DataFrame:
+def stash(df: DataFrame, label: str, codec: str = "lz4_raw", files: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared scratch folder and read it back: cuts lineage, survives lost executors.
 
-    The codec runs on the JVM's heap.  ``files_per_core`` bounds the files of a table that is small beside the input;
-    without it there is one for each partition.
+    The codec runs on the JVM's heap.  ``files`` bounds the files (and the tasks of the last stage) of a table that is small
+    beside the input, but never below the cores there are; callers derive it from their rows, so that a task's share doesn't
+    grow with the data.  Without it there is a file for each partition.
     """
     path = scratch_path(df.sparkSession, label)
-    if files_per_core:
-        df = df.coalesce(files_per_core * df.sparkSession.sparkContext.defaultParallelism)
+    if files:
+        df = df.coalesce(max(files, df.sparkSession.sparkContext.defaultParallelism))
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
