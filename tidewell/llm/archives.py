@@ -247,7 +247,6 @@ def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0, date: str =
         .where("rows > 1")
         .select(F.col("payload").alias("p"), F.col("first.page_id").alias("first_id"), (F.col("first.same") > 1).alias("tied")),
         "warc-firsts",
-        files_per_core=2,
     )
     joined = keyed.join(firsts, F.col("payload") == F.col("p"), "left")
     is_first = F.col("p").isNull() | F.col("page_id").eqNullSafe(F.col("first_id"))

@@ -13,14 +13,14 @@ def _lowest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
 
 
-def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str, files: int | None = None) -> DataFrame:
     """(vertex, component) for every vertex of ``edges``: component is the smallest vertex that it reaches.
 
     Loops, repeats and rows with nulls don't matter; no edges give no rows.  The number of rounds grows with the logarithm
-    of the vertices.  Every round is written to the shared scratch folder.
+    of the vertices.  Every round is written to the shared scratch folder, in ``files`` files about.
     """
     x, y = F.col(a), F.col(b)
-    pairs = stash(edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "cc-edges", files_per_core=1)
+    pairs = stash(edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "cc-edges", files=files)
     state = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         # now u > v: a small star hangs a vertex and its smaller neighbours below the smallest of these
         low = _lowest(large)
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        pairs = stash(small.select("e.u", "e.v").where("u <> v").distinct(), "cc-round", files_per_core=1)
+        pairs = stash(small.select("e.u", "e.v").where("u <> v").distinct(), "cc-round", files=files)
         seen = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break

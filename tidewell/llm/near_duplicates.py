@@ -7,8 +7,10 @@ which frequent shingles come last) and if their sizes are in a band.  So:
 1. Frequent shingles are counted over all documents; which ones are listed changes the cost and never the result.
 2. Star edges: texts that share one of their smallest shingles and a size band are tested against the group's most
    typical text.  Verified stars join most copies of a large group through one vertex, in a number of edges that is linear.
-3. Tiles: the texts with one prefix shingle.  In a tile, texts of different star components and fitting sizes are paired;
-   bit counts of their bitmap signatures bound the overlap from above, and pairs whose bound is too low go.
+3. Tiles: the texts with one prefix shingle.  Texts of one star component need not meet, so a tile within one goes at once,
+   and one with few strangers lists each of them against the others: a family of copies costs what it has members, however
+   large.  Elsewhere texts of different components and fitting sizes are paired.  Bit counts of bitmap signatures bound the
+   overlap of a pair from above, and pairs whose bound is too low go.
 4. What is left is verified by exact intersection of sorted shingle arrays, and components are made of all verified links.
 
 Pairs within a star component aren't needed: components are what is asked for.  Prefix entries travel as packed arrays to
@@ -36,9 +38,11 @@ WORDS = 5
 #: Shingles on the list of frequent ones, at most: a size bound for the broadcast, without effect on results.
 FREQUENT = 1 << 20
 #: Prefix entries in one bucket, about.
-BUCKET_ENTRIES = 3_000_000
-#: Texts in a tile whose pairs are listed at once; in larger ones bitmaps decide first.
+BUCKET_ENTRIES = 1_000_000
+#: Pairs of a tile, for each of its texts, that are listed at once; where there are more, bitmaps decide first.
 SMALL_TILE = 16
+#: Documents in one file of a table that is small beside the texts.
+FILE_DOCS = 5_000
 #: Smallest shingles by which stars are formed.
 STARS = 4
 #: Pairs held at once in a bucket.
@@ -46,7 +50,8 @@ PAIRS = 250_000
 #: Bytes of text shingled at once, and words whose hashes are remembered.
 SHINGLE_BYTES, MEMO = 2 << 20, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-_SLOTS = 1 << 20
+#: Bits of the sieve by which texts are read again: at most 16 MB are sent, of which 1 in 16 is set up to 8 M texts.
+SIEVE_BITS = (20, 27)
 
 
 def digest(text: bytes) -> bytes:
@@ -216,30 +221,43 @@ def _sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, SETS)
 
 
-def _slot(node):
-    return F.conv(F.substring(F.hex(node), 1, 5), 16, 10).cast("int")
+class Sieve:
+    """A table of bits that digests of wanted texts pass, as wide as their number asks for, within SIEVE_BITS; others
+    seldom pass it, which costs time and changes no result."""
+
+    def __init__(self, nodes: DataFrame) -> None:
+        low, high = SIEVE_BITS
+        self.width = min(max((16 * nodes.count()).bit_length(), low), high)
+        slot = F.shiftright(F.conv(F.substring(F.hex("node"), 1, 7), 16, 10).cast("long"), 28 - self.width) + 1
+        found = nodes.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+        self.bytes = np.zeros(1 << (self.width - 3), np.uint8)
+        for k, bits in found:  # at most 2 ** 12 rows of 4 KB
+            part = np.frombuffer(bits, np.uint8)[: len(self.bytes)]
+            self.bytes[(k - 1) * 4096 : (k - 1) * 4096 + len(part)] = part
+
+    def passes(self, node: bytes) -> bool:
+        slot = int.from_bytes(node[:4], "big") >> (32 - self.width)
+        return bool(self.bytes[slot >> 3] >> (slot & 7) & 1)
 
 
 LINKS = "a binary, b binary"
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose texts link, by exact intersection.  Texts come from ``docs`` again: of those that a table of fixed
-    size lets pass, one of each digest, compressed."""
+    """The pairs whose texts link, by exact intersection.  Texts come from ``docs`` again: of those that a :class:`Sieve`
+    lets pass, one of each digest, compressed."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    wanted = np.zeros(_SLOTS, bool)
-    wanted[[r[0] for r in ends.select(_slot(F.col("node")).alias("s")).distinct().collect()]] = True  # at most _SLOTS numbers
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    sent = docs.sparkSession.sparkContext.broadcast(Sieve(ends.distinct()))  # of a fixed size at most
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(sent.value)
+        wanted = sent.value
         seen: set[bytes] = set()
         for batch in batches:
             out: dict[bytes, bytes] = {}
             for _, _, texts in text_slices(batch.column(0)):
                 for text in texts:
                     node = digest(text)
-                    if wanted[int.from_bytes(node[:3], "big") >> 4] and node not in seen:
+                    if node not in seen and wanted.passes(node):
                         seen.add(node)
                         out[node] = len(text).to_bytes(8, "big") + pa.compress(text, codec="zstd", asbytes=True)
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["node", "text"])
@@ -283,7 +301,7 @@ def _star_pairs(nodes: DataFrame) -> DataFrame:
     return _bounded(pairs.join(x, "a").join(y, "b"))
 
 
-PACKED = "bucket int, keys binary, owners binary, ids binary, sizes binary"
+PACKED = "bucket int, keys binary, owners binary, ids binary, sizes binary, kin binary"
 TILES = "bucket int, left binary, right binary, ids binary, lengths binary, members binary"
 
 
@@ -306,9 +324,35 @@ def _meetings(tile: np.ndarray, member: np.ndarray, n: np.ndarray) -> Iterator[t
         at = end
 
 
-def _tiles(sets: DataFrame, buckets: int) -> DataFrame:
-    """By bucket, the pairs of its small tiles (as two arrays of ids), and its large tiles: their lengths, and their
-    members as numbers into an array of ids."""
+def _strangers(tile: np.ndarray, member: np.ndarray, kin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of ``member`` of different ``kin`` (a number by member) in each tile (sorted), in batches of about PAIRS:
+    those outside the tile's commonest kin meet all others in it."""
+    first = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+    lengths = np.diff(np.append(first, len(tile)))
+    which = np.repeat(np.arange(len(first)), lengths)
+    of = kin[member]
+    order = np.lexsort((of, which))
+    edge = np.flatnonzero(np.append(True, (which[order][1:] != which[order][:-1]) | (of[order][1:] != of[order][:-1])))
+    counts = np.diff(np.append(edge, len(tile)))
+    by_count = np.lexsort((counts, which[order][edge]))  # the last of each tile is its commonest kin
+    last = by_count[np.append(np.diff(which[order][edge][by_count]) != 0, True)]
+    few = np.flatnonzero(of != of[order][edge][last][which])
+    done = np.cumsum(lengths[which[few]])
+    at = 0
+    while at < len(few):
+        end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + PAIRS, side="right")))
+        k = lengths[which[few[at:end]]]
+        i = np.repeat(few[at:end], k)
+        j = np.repeat(first[which[few[at:end]]], k) + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+        apart = of[i] != of[j]
+        a, b = member[i[apart]], member[j[apart]]
+        yield np.minimum(a, b), np.maximum(a, b)
+        at = end
+
+
+def _tiles(sets: DataFrame, stars: DataFrame, buckets: int) -> DataFrame:
+    """By bucket, the pairs of its tiles that are listed (as two arrays of ids), and its other tiles: their lengths, and
+    their members as numbers into an array of ids.  Tiles within one star component are left out."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,15 +360,16 @@ def _tiles(sets: DataFrame, buckets: int) -> DataFrame:
                 continue
             ids, sizes = (batch.column(i).to_numpy() for i in (0, 1))
             prefixes = batch.column(2).to_pylist()
+            kin = np.array([i if c is None else int.from_bytes(c[:8], "little", signed=True) for i, c in zip(ids.tolist(), batch.column(3).to_pylist(), strict=True)], np.int64)
             keys = np.frombuffer(b"".join(prefixes), np.uint64)
             owner = np.repeat(np.arange(len(ids)), [len(p) // 8 for p in prefixes])
             bucket = (mix64(keys) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(ends)).tolist():
-                own = order[ends[b] : ends[b + 1]]
+            held, first = np.unique(bucket[order], return_index=True)
+            for b, lo, hi in zip(held.tolist(), first.tolist(), np.append(first[1:], len(order)).tolist(), strict=True):
+                own = order[lo:hi]
                 used, number = np.unique(owner[own], return_inverse=True)
-                data = (keys[own], number.astype(np.int32), ids[used], sizes[used].astype(np.int32))
+                data = (keys[own], number.astype(np.int32), ids[used], sizes[used].astype(np.int32), kin[used])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in data)], [x.split()[0] for x in PACKED.split(", ")]
                 )
@@ -335,13 +380,13 @@ def _tiles(sets: DataFrame, buckets: int) -> DataFrame:
         keys = np.concatenate([np.frombuffer(x, np.uint64) for x in group["keys"]])
         owner = np.concatenate([np.frombuffer(x, np.int32) + s for x, s in zip(group["owners"], shift, strict=False)])
         sizes = np.concatenate([np.frombuffer(x, np.int32) for x in group["sizes"]]).astype(np.int64)
-        table = np.concatenate(tables)
+        table, kin = np.concatenate(tables), np.concatenate([np.frombuffer(x, np.int64) for x in group["kin"]])
         # number texts by size, copies of one text in several tasks alike
         by_size = np.lexsort((table, sizes))
         new = np.append(True, (table[by_size][1:] != table[by_size][:-1]) | (sizes[by_size][1:] != sizes[by_size][:-1]))
         number = np.empty(len(table), np.int64)
         number[by_size] = np.cumsum(new) - 1
-        ids, n = table[by_size[new]], sizes[by_size[new]]
+        ids, n, kin = table[by_size[new]], sizes[by_size[new]], np.unique(kin[by_size[new]], return_inverse=True)[1]
         owner = number[owner]
         order = np.lexsort((owner, keys))
         keys, owner = keys[order], owner[order]
@@ -349,18 +394,30 @@ def _tiles(sets: DataFrame, buckets: int) -> DataFrame:
         keys, owner = keys[fresh], owner[fresh]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         lengths = np.diff(np.append(first, len(keys)))
-        small, large = (lengths > 1) & (lengths <= SMALL_TILE), lengths > SMALL_TILE
+        mixed = np.minimum.reduceat(kin[owner], first) != np.maximum.reduceat(kin[owner], first)
+        inside = np.repeat(mixed, lengths)
+        owner, lengths = owner[inside], lengths[mixed]
+        which = np.repeat(np.arange(len(lengths)), lengths)
+        # pairs of different kin: all pairs less those within a kin
+        within = np.zeros(len(lengths), np.int64)
+        order = np.lexsort((kin[owner], which))
+        edge = np.flatnonzero(np.append(True, (np.diff(which[order]) != 0) | (np.diff(kin[owner][order]) != 0))) if len(owner) else np.zeros(0, np.int64)
+        np.add.at(within, which[order][edge], np.diff(np.append(edge, len(owner))) ** 2)
+        few = (lengths**2 - within) // 2 <= SMALL_TILE * lengths
         pairs = np.zeros(0, np.int64)
-        if small.any():
-            inside = np.repeat(small, lengths)
-            found = [np.unique(a * len(ids) + b) for a, b in _meetings(np.repeat(np.arange(len(lengths)), lengths)[inside], owner[inside], n)]
+        if few.any():
+            listed = np.repeat(few, lengths)
+            found = [np.unique(a * len(ids) + b) for a, b in _strangers(which[listed], owner[listed], kin)]
             pairs = np.unique(np.concatenate(found))
-        used, members = np.unique(owner[np.repeat(large, lengths)], return_inverse=True)
-        arrays = (ids[pairs // len(ids)], ids[pairs % len(ids)], ids[used], lengths[large].astype(np.int32), members.astype(np.int32))
+            x, y = n[pairs // len(ids)], n[pairs % len(ids)]
+            pairs = pairs[5 * np.minimum(x, y) >= 4 * np.maximum(x, y)]
+        used, members = np.unique(owner[np.repeat(~few, lengths)], return_inverse=True)
+        arrays = (ids[pairs // len(ids)], ids[pairs % len(ids)], ids[used], lengths[~few].astype(np.int32), members.astype(np.int32))
         return pd.DataFrame([(int(group["bucket"].iloc[0]), *(x.tobytes() for x in arrays))], columns=[x.split()[0] for x in TILES.split(", ")])
 
-    rows = sets.where("prefix is not null").select("id", "n", "prefix").mapInArrow(pack, PACKED)
-    return rows.groupBy("bucket").applyInPandas(tile, TILES)
+    rows = sets.where("prefix is not null").join(stars.select(F.col("vertex").alias("node"), "component"), "node", "left")
+    packed = rows.select("id", "n", "prefix", "component").mapInArrow(pack, PACKED).repartition(buckets, "bucket")
+    return packed.groupBy("bucket").applyInPandas(tile, TILES)
 
 
 def _bounded(pairs: DataFrame) -> DataFrame:
@@ -380,10 +437,10 @@ def _bounded(pairs: DataFrame) -> DataFrame:
     return fit.select("a", "b", "na", "nb", "bitmapa", "bitmapb").mapInArrow(bounded, LINKS)
 
 
-def _tile_pairs(tiles: DataFrame, nodes: DataFrame, stars: DataFrame) -> DataFrame:
+def _tile_pairs(tiles: DataFrame, nodes: DataFrame, stars: DataFrame, files: int) -> DataFrame:
     """Pairs of texts in different star components that meet in a tile, fit in size and whose bitmaps let them link."""
     known = nodes.join(stars.select(F.col("vertex").alias("node"), "component"), "node", "left")
-    known = stash(known.select("id", "node", "n", F.coalesce("component", "node").alias("component")), "near-known", files_per_core=2)
+    known = stash(known.select("id", "node", "n", F.coalesce("component", "node").alias("component")), "near-known", files=files)
     signs = nodes.select("id", "bitmap")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,20 +500,21 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row's (doc_id, node, n), and those of rows with words with their component (a node)."""
     bounded_batches(docs.sparkSession)
     sets = stash(_sets(docs, _frequent(docs)), "near-sets")
+    n_docs, entries = sets.agg(F.count("*"), F.sum(F.octet_length("prefix") / 8)).first()
+    files = 1 + n_docs // FILE_DOCS
     nodes = stash(
         sets.where("n > 0 and bitmap is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("id", "n", "common", "bitmap", "smallest")]),
         "near-nodes",
-        files_per_core=4,
+        files=files,
     )
-    entries = sets.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
-    buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
-    star_links = stash(_verified(docs, stash(_star_pairs(nodes), "near-stars", files_per_core=2)), "near-star-links", files_per_core=2)
-    stars = connected_components(star_links, "a", "b")
-    tiles = stash(_tiles(sets, buckets), "near-tiles", files_per_core=2)
-    tile_links = stash(_verified(docs, stash(_tile_pairs(tiles, nodes, stars), "near-pairs", files_per_core=2)), "near-tile-links", files_per_core=2)
+    buckets = max(1, -(-int(entries or 0) // BUCKET_ENTRIES))
+    star_links = stash(_verified(docs, stash(_star_pairs(nodes), "near-stars", files=files)), "near-star-links", files=files)
+    stars = connected_components(star_links, "a", "b", files)
+    tiles = stash(_tiles(sets, stars, buckets), "near-tiles")
+    tile_links = stash(_verified(docs, stash(_tile_pairs(tiles, nodes, stars, files), "near-pairs", files=files)), "near-tile-links", files=files)
     # star components stand for their members from here on
     joined = stars.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(tile_links)
-    classes = connected_components(joined, "a", "b")
+    classes = connected_components(joined, "a", "b", files)
 
     rows = sets.select("doc_id", "node", "n")
     full = rows.where("n > 0").join(classes.select(F.col("vertex").alias("node"), "component"), "node", "left")
