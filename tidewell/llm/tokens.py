@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens whose counts a task remembers; beyond, it starts anew.
-MEMO = 600_000
+#: Pre-tokens, and their characters, that a task remembers the counts of; beyond either, it starts anew.
+MEMO, MEMO_CHARS = 600_000, 8_000_000
 #: Characters of new pre-tokens that are merged together.
 BATCH_CHARS = 2_000_000
 _NONE = np.int64(2**62)
@@ -179,12 +179,14 @@ def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         memo: dict[str, int] = {}
+        remembered = 0
         for batch in batches:
             n_bytes, n_tokens = [], []
             held: list[tuple[list[str], int]] = []
             chars = 0
 
             def settle() -> None:
+                nonlocal remembered
                 new = list({p for parts, _ in held for p in parts if p not in memo})
                 at = 0
                 while at < len(new):
@@ -193,11 +195,13 @@ def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
                         size += len(new[end])
                         end += 1
                     memo.update(zip(new[at:end], model.count(new[at:end]).tolist(), strict=True))
+                    remembered += size
                     at = end
                 n_tokens.extend(sum(map(memo.__getitem__, parts)) + extra for parts, extra in held)
                 held.clear()
-                if len(memo) > MEMO:
+                if len(memo) > MEMO or remembered > MEMO_CHARS:
                     memo.clear()
+                    remembered = 0
 
             for text in batch.column(1).to_pylist():
                 text = text or ""
