@@ -38,6 +38,15 @@ def test_small_tables_are_answered_in_full(spark):
     assert [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r[3] for r in got], [r[3] for r in want], rtol=1e-12)
 
 
+def test_vectors_of_each_length_are_searched_among_their_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(2 + i % 3).tolist()) for i in range(160)]
+    df = frame(spark, rows).repartition(3)
+    got = rows_of(nb.search(df, df.where("vec_id % 20 = 0"), recall=1.0))
+    want = [r for n in (2, 3, 4) for r in brute_force([x for x in rows if len(x[1]) == n], set(range(0, 160, 20)))]
+    assert [r[:2] for r in got] == [r[:2] for r in sorted(want)] and len({r[0:3:2] for r in got} & {r[0:3:2] for r in want}) >= 0.9 * len(want)
+
+
 def test_fewer_candidates_than_asked_and_nothing_at_all(spark):
     df = frame(spark, [(0, [1.0, 0.0]), (1, [1.0, 1.0])])
     assert [r[:3] for r in rows_of(nb.search(df, df.where("vec_id = 0")))] == [(0, 1, 1)]

@@ -34,7 +34,7 @@ class Planes:
     """The forest's hyperplanes: ``trees`` times ``bits`` normals, from a seed."""
 
     def __init__(self, dims: int, trees: int, bits: int, seed: int) -> None:
-        self.trees, self.bits = trees, bits
+        self.dims, self.trees, self.bits = dims, trees, bits
         self.normals = np.random.default_rng(seed).standard_normal((dims, trees * bits))
         self.weights = np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64)
 
@@ -124,6 +124,9 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
+RESULT = "query_id long, rank int, vec_id long, score double"
+
+
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 32, bits: int = 24, recall: float = 0.98, seed: int = 29
 ) -> DataFrame:
@@ -131,21 +134,26 @@ def search(
 
     Returns query_id, rank (from 1), vec_id, score (the cosine of the original vectors in double precision), nearest
     first, ties to the smaller vec_id.  A row is no candidate for queries of its own vec_id.  Rows with a null id, or with
-    a vector that is null, zero, of another length than the first query's or holds null or non-finite components take no
-    part.  Queries that repeat an id are each answered; candidates that repeat an id are each one.  Without vectors or
+    a vector that is null, zero or holds null or non-finite components take no part.  A cosine is of vectors of one length:
+    queries of each length that occurs have a search of their own among the vectors of that length.  Queries that repeat an id are each answered; candidates that repeat an id are each one.  Without vectors or
     queries the result is empty.  Every query has at least ``k`` candidates, or all
     there are: it ascends until then, in the end to prefixes of no bits.
     """
     spark = vectors.sparkSession
-    context = spark.sparkContext
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     asked = queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null")
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    first = asked.where("exists(embedding, x -> x <> 0) and not exists(embedding, x -> x is null)").select(F.size("embedding")).first()
-    if first is None:
-        return empty
-    dims = first[0]
-    planes = Planes(dims, trees, bits, seed)
+    usable = asked.where("exists(embedding, x -> x <> 0) and not exists(embedding, x -> x is null)")
+    lengths = sorted(r[0] for r in usable.select(F.size("embedding")).distinct().collect())
+    of = lambda df, n: df.where(F.size("embedding") == n)
+    found = [_search_of(of(rows, n), of(asked, n), Planes(n, trees, bits, seed), k, recall, seed) for n in lengths]
+    return reduce(DataFrame.unionAll, found, spark.createDataFrame([], RESULT))
+
+
+def _search_of(rows: DataFrame, asked: DataFrame, planes: Planes, k: int, recall: float, seed: int) -> DataFrame:
+    """:func:`search` of vectors of one length."""
+    spark = rows.sparkSession
+    context = spark.sparkContext
+    dims, trees, bits = planes.dims, planes.trees, planes.bits
 
     def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         names, held = [], []
@@ -239,6 +247,6 @@ def search(
         depth = np.where(reached.any(axis=1), bits - np.argmax(reached[:, ::-1], axis=1), 0)
         parts.append(nearest(names, q, depth))
     if not parts:
-        return empty
+        return spark.createDataFrame([], RESULT)
     found = top(reduce(DataFrame.unionAll, parts))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
