@@ -67,6 +67,40 @@ def test_arc_files_become_warc_files(spark, tmp_path):
     assert {r.page_id for r in ar.read_pages(spark, f"file://{tmp_path}/out").collect()} == {1, 2}
 
 
+def test_odd_header_lines(spark, tmp_path):
+    head = ar.arc_version_block(2, "f.arc", "20200101000000")
+    lines = [
+        (b"http://a/b c d 1.2.3.4 20200101000000 text/html; charset=x 200 - - 0 f.arc 3", "http://a/b c d", "text/html; charset=x", "200"),
+        (b"http://b ::1 2020 text/html 3", "http://b", "text/html", "-"),
+        (b"http://c 1.2.3.4 20200101 3", "http://c", "-", "-"),
+    ]
+    data = head + b"\n".join(line + b"\nxyz" for line, *_ in lines)
+    got = list(ar.parse_arc(data))
+    assert [(r.url, r.fields["Content-type"], r.fields["Result-code"]) for r in got] == [x[1:] for x in lines] and {r.block for r in got} == {b"xyz"}
+    bad = head + b"not a header at all\nnor this one\n" + ar.page_arc(1, "http://x", b"a", 2, "2020") + b"http://y 1.2.3.4 2020 text/html 200 - - 0 f.arc 999\nshort"
+    with pytest.raises(ValueError, match="not a record's header"):
+        list(ar.parse_arc(bad))
+    (tmp_path / "b.arc").write_bytes(bad)
+    rows = ar.convert_arc_files(spark, f"file://{tmp_path}").collect()
+    assert [r.record is None for r in rows] == [False, True, True] and "not a record" in rows[1].problem and "cut short" in rows[2].problem
+
+
+def test_files_are_bounded_and_say_who_wrote_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ar, "FILE_RECORDS", ((10, 4), (100, 2), (1 << 62, 1)))
+    rows = [(i, "u", "x" * (i % 10)) for i in range(20)] + [(100 + i, "u", "y" * (50 + i)) for i in range(5)] + [(200 + i, "u", "z" * (500 + i)) for i in range(3)]
+    ar.archive_pages(pages(spark, rows).coalesce(1), f"file://{tmp_path}/w", date="20230203040506")
+    kinds, dates = [], set()
+    for p in sorted((tmp_path / "w").glob("part-*")):
+        found = list(ar.read_warc(gzip.open(p)))
+        longest = max((int(r.http["content-length"]) for r in found if r.http), default=0)
+        assert len(found) <= (4 if longest <= 10 else 2 if longest <= 100 else 1)
+        kinds += [r.headers["WARC-Type"] for r in found]
+        dates |= {r.headers["WARC-Date"] for r in found}
+    assert kinds.count("warcinfo") >= 3 and len(kinds) - kinds.count("warcinfo") == len(rows) and dates == {"2023-02-03T04:05:06Z"}
+    back = result(ar.read_pages(spark, f"file://{tmp_path}/w"))
+    assert len(back) == len(rows) and [r[3] for r in back if r[0] == 15] == [5]
+
+
 def test_a_changed_payload_is_noticed(spark, tmp_path):
     record = ar.arc_to_warc(next(ar.parse_arc(ar.arc_version_block(1, "f", "2020") + ar.page_arc(1, "u", b"abc", 1, "2020")))).to_bytes()
     (tmp_path / "part-0").write_bytes(record.replace(b"abc", b"abd") + ar.RECORD_END)

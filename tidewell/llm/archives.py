@@ -11,6 +11,8 @@ import base64
 import gzip
 import hashlib
 import io
+import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,6 +31,9 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 RECORD_END = b"\r\n\r\n"
+_DATE, _ADDRESS = re.compile(r"\d{4,14}"), re.compile(r"\d+(\.\d+){3}|[0-9a-fA-F]*:[0-9a-fA-F:.]+")
+#: Files of pages up to so many bytes hold so many records, so that a file's size is bounded.
+FILE_RECORDS = ((64 << 10, 4000), (4 << 20, 64), (1 << 62, 1))
 
 
 @dataclass
@@ -72,30 +77,57 @@ def arc_version_block(version: int, name: str, date: str) -> bytes:
     return head + body + b"\n"
 
 
-def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """The records after the version block, by declared lengths; line ends between records may lack or repeat."""
+def _header(line: bytes, names: list[str]) -> dict[str, str]:
+    """The fields of a record's header line.  URLs and content types may hold spaces, so the fields between are found by
+    the date and the address before it; fields that a short line lacks are ``-``."""
+    values = line.decode("utf-8", "replace").rstrip("\r").split(" ")
+    if len(values) < 3 or not values[-1].isdigit():
+        raise ValueError(f"not a record's header: {line[:80]!r}")
+    if len(values) != len(names):
+        at = next((i for i in range(2, len(values) - 1) if _DATE.fullmatch(values[i]) and _ADDRESS.fullmatch(values[i - 1])), None)
+        if at is None:
+            raise ValueError(f"no date and address in a record's header: {line[:80]!r}")
+        rest, behind = values[at + 1 : -1], len(names) - 5  # fields after the content type
+        tail = rest[len(rest) - behind :] if behind and len(rest) > behind else rest[1:] if behind else []
+        mime = " ".join(rest[: len(rest) - len(tail)]) or "-"
+        values = [" ".join(values[: at - 1]), values[at - 1], values[at], mime, *tail, *["-"] * (behind - len(tail)), values[-1]]
+    return dict(zip(names, values, strict=True))
+
+
+def parse_arc(data: bytes, problems: list[str] | None = None) -> Iterator[ArcRecord]:
+    """The records after the version block, by declared lengths; line ends between records may lack or repeat.
+
+    What is no record raises ValueError.  With ``problems`` it is noted there, and reading goes on at the next line that is
+    a record's header.
+    """
     first = data.find(b"\n")
     head = data[:first].decode().split(" ")
     body = data[first + 1 : first + 1 + int(head[-1])].decode()
     version = int(body.split(" ", 1)[0])
     names = body.split("\n")[1].split(" ") if body.count("\n") > 1 else ARC_FIELDS[version].split(" ")
     at = first + 1 + int(head[-1])
+    lost = False
     while True:
         while data[at : at + 1] in (b"\n", b"\r"):
             at += 1
         if at >= len(data):
             return
         end = data.find(b"\n", at)
-        values = data[at:end].decode().rstrip("\r").split(" ")
-        if len(values) > len(names):  # a content type with parameters holds spaces
-            extra = len(values) - len(names)
-            values = values[:3] + [" ".join(values[3 : 4 + extra])] + values[4 + extra :]
-        fields = dict(zip(names, values, strict=True))
-        length = int(fields["Archive-length"])
-        if end + 1 + length > len(data):
-            raise ValueError(f"record of {fields['URL']} is cut short")
+        end = len(data) if end < 0 else end
+        try:
+            fields = _header(data[at:end], names)
+            length = int(fields["Archive-length"])
+            if end + 1 + length > len(data):
+                raise ValueError(f"record of {fields['URL']} is cut short")
+        except ValueError as e:
+            if problems is None:
+                raise
+            if not lost:
+                problems.append(str(e))
+            lost, at = True, end + 1
+            continue
         yield ArcRecord(fields, data[end + 1 : end + 1 + length])
-        at = end + 1 + length
+        lost, at = False, end + 1 + length
 
 
 def split_http(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
@@ -146,9 +178,9 @@ def to_revisit(record: WarcRecord, original: str) -> WarcRecord:
     return WarcRecord(headers, head, record.http)
 
 
-def page_arc(page_id: int | None, url: str | None, payload: bytes, version: int, date: str, refers: int | None = None) -> bytes:
+def page_arc(page_id: int | None, url: str | None, payload: bytes, version: int, date: str) -> bytes:
     """One page as an ARC file's record."""
-    extra = ("" if page_id is None else f"X-Page-Id: {page_id}\r\n") + ("" if refers is None else f"X-Refers-To-Page-Id: {refers}\r\n")
+    extra = "" if page_id is None else f"X-Page-Id: {page_id}\r\n"
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n{extra}\r\n".encode() + payload
     return arc_header(version, url or "", date, "text/html", len(block), checksum=hashlib.md5(payload).hexdigest()) + block + b"\n"
 
@@ -177,29 +209,35 @@ def read_warc(stream: io.BufferedIOBase) -> Iterator[WarcRecord]:
 
 
 def convert_arc_files(spark: SparkSession, path: str) -> DataFrame:
-    """WARC records (name of the ARC file, record bytes) of all ARC files below ``path``; gzip members are read too."""
+    """WARC records (name of the ARC file, record bytes, null) of all ARC files below ``path``; gzip members are read too.
+    What a file holds that is no record comes as a row without a record that says what is wrong."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-                found = [arc_to_warc(r).to_bytes() for r in parse_arc(data)]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found, pa.binary())], ["arc", "record"])
+                problems: list[str] = []
+                found = [arc_to_warc(r).to_bytes() for r in parse_arc(data, problems)]
+                n = len(found) + len(problems)
+                columns = (pa.array([name] * n, pa.string()), pa.array(found + [None] * len(problems), pa.binary()), pa.array([None] * len(found) + problems, pa.string()))
+                yield pa.RecordBatch.from_arrays(list(columns), ["arc", "record", "problem"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(convert, "arc string, record binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(convert, "arc string, record binary, problem string")
 
 
 def write_warc(records: DataFrame, path: str, compression: str | None = "gzip", records_per_file: int = 4000) -> None:
-    """Write the ``record`` column (bytes without their end) as WARC files through Spark's own file systems."""
-    writer = records.select(F.col("record").cast("string")).write.option("lineSep", RECORD_END.decode()).option("maxRecordsPerFile", records_per_file)
+    """Write the ``record`` column (bytes without their end; null is no record) as WARC files through Spark's own file
+    systems, beside those that are below ``path`` already."""
+    writer = records.where("record is not null").select(F.col("record").cast("string")).write.mode("append").option("lineSep", RECORD_END.decode()).option("maxRecordsPerFile", records_per_file)
     (writer.option("compression", compression) if compression else writer).text(path)
 
 
-PAGE_ROWS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+PAGE_ROWS = "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to string"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """The page rows that WARC files hold.  Payloads of responses are checked against their declared lengths and digests."""
+    """The page rows that WARC files hold: page_id, payload_bytes, payload_digest, record_type, refers_to (the page_id of the
+    response whose record a revisit refers to).  Payloads of responses are checked against their declared lengths and digests."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,17 +252,31 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
                     if kind == "response" and (declared != len(r.payload) or digest != digest32(r.payload)):
                         raise ValueError(f"payload of {r.headers['WARC-Record-ID']} isn't what its header says")
                     number = lambda name: int(v) if (v := r.http.get(name)) is not None else None  # noqa: B023, E731
-                    rows.append((number("x-page-id"), declared, digest, kind, number("x-refers-to-page-id")))
-                columns = list(zip(*rows, strict=True)) or [()] * 5
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+                    rows.append((number("x-page-id"), declared, digest, kind, r.headers["WARC-Record-ID"], r.headers.get("WARC-Refers-To")))
+                columns = list(zip(*rows, strict=True)) or [()] * 6
+                kinds = (pa.int64(), pa.int64(), *[pa.string()] * 4)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PAGE_ROWS.split(", ")])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(parse, PAGE_ROWS)
+    found = stash(files.select("content").mapInArrow(parse, PAGE_ROWS), "warc-rows")
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type")
+    first = found.where("record_type = 'response'").select(F.col("record_id").alias("first"), F.col("page_id").alias("first_page")).dropDuplicates(["first"])
+    revisits = found.where("record_type = 'revisit'").join(first, F.col("refers_to") == F.col("first"), "left")
+    return found.where("record_type = 'response'").select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(
+        revisits.select(*columns, F.col("first_page").alias("refers_to"))
+    )
 
 
-def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0, date: str = "20240101000000") -> None:
-    """Write a WARC record for every row of ``pages(page_id, url, html)`` below ``path``.
+def _about_archive(date: str) -> bytes:
+    """A record that says what wrote the archive."""
+    block = b"software: tidewell\r\nformat: WARC File Format 1.0\r\n"
+    headers = {"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": iso_date(date), "Content-Type": "application/warc-fields"}
+    return WarcRecord(headers, block).to_bytes()
+
+
+def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0, date: str | None = None) -> None:
+    """Write a WARC record for every row of ``pages(page_id, url, html)`` below ``path``, dated ``date`` (an ARC date; by
+    default when it is called).  Each task's records follow one that says what wrote them; long pages are in files of few.
 
     Each page becomes an ARC record (version 1 for even ids, 2 for odd ones), which the converter turns into WARC.  Of
     rows with equal payloads of at least ``least_bytes`` that with the smallest page_id is the response, the others
@@ -257,18 +309,28 @@ def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0, date: str =
         copies = copies.select("page_id", "url", "html", (F.col("copy") == 1).alias("response"), F.when(F.col("copy") > 1, F.col("page_id")).alias("refers"), F.lit(True).alias("tied"))
         rows = rows.where("not (tied and response)").unionByName(copies)
 
+    date = date or time.strftime("%Y%m%d%H%M%S", time.gmtime())
+
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun = False
         for batch in batches:
             html = text_bytes(batch.column(2))
-            out = []
+            out = [] if begun or not html else [_about_archive(date)]
+            begun = begun or bool(html)
             for k, (page, url, first, refers) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4)), strict=True)):
                 version = 2 if page is not None and page % 2 else 1
-                arc = arc_version_block(version, "pages.arc", date) + page_arc(page, url, html[k], version, date, refers)
+                arc = arc_version_block(version, "pages.arc", date) + page_arc(page, url, html[k], version, date)
                 for record in map(arc_to_warc, parse_arc(arc)):
                     out.append((record if first else to_revisit(record, str(refers))).to_bytes())
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    write_warc(rows.mapInArrow(convert, "record binary"), path)
+    longest = keyed.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    low = -1
+    for high, records in FILE_RECORDS:
+        if low < longest:
+            sized = rows.where((F.octet_length("html") > low) & (F.octet_length("html") <= high))
+            write_warc(sized.mapInArrow(convert, "record binary"), path, records_per_file=records)
+        low = high
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
