@@ -80,8 +80,8 @@ def build_index(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("hash"), F.col("text").cast("string").alias("text"))
     tasks = max(1, rows.rdd.getNumPartitions())  # they follow the size of the input
     bucket = F.when(F.col("term").isNull(), -1).otherwise(F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int"))
-    # a bucket is as many files as there are tasks for it, so a frequent term isn't one task's
-    salt = F.pmod(F.xxhash64("slice"), F.lit(-(-tasks // TERM_BUCKETS)))
+    # a bucket is several parts for each task that it would fill, so neither a frequent term nor a bucket is one task's
+    salt = F.pmod(F.xxhash64("slice"), F.lit(-(-4 * tasks // TERM_BUCKETS)))
     path = scratch_path(spark, "positional-index")
     made = rows.mapInArrow(_postings, INDEX).withColumn("bucket", bucket).repartition(tasks, "bucket", salt)
     made.sortWithinPartitions("bucket", "term").write.option("compression", "zstd").partitionBy("bucket").parquet(path)
