@@ -134,3 +134,14 @@ def test_avro_arrays_maps_and_members():
     kind = {"type": "record", "name": "R", "fields": [{"name": "a", "type": {"type": "array", "items": "long"}}, {"name": "u", "type": ["int", "string"]}, {"name": "m", "type": {"type": "map", "values": "int"}}]}
     data = b"\x04\x02\x04\x00" + b"\x02\x02x" + b"\x01\x06\x02k\x0a\x00"
     assert Codec(kind).reader()(data, 0) == ({"a": [1, 2], "u": {"member1": "x"}, "m": [("k", 5)]}, len(data))
+
+
+def test_avro_is_decoded_natively_where_the_module_is_loaded(spark, monkeypatch):
+    from tidewell.sources import avro
+
+    asked = []
+    monkeypatch.setattr(avro, "avro_module_loaded", lambda s: True)
+    monkeypatch.setattr(avro, "native_from_avro", lambda column, schema: asked.append(schema) or F.struct(F.length(column).alias("n")))
+    got = avro.decoded(spark.createDataFrame([(1, bytearray(b"abc"))], "id int, value binary"), "value", CHANGE, "v")
+    assert got.columns == ["id", "v"] and got.first().v.n == 3 and asked == [CHANGE]
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()

@@ -31,6 +31,38 @@ def test_versions(spark, store):
     assert sorted(map(tuple, t.read().collect())) == [(2, "B"), (4, "d"), (9, "n")]
 
 
+def test_batches_of_changes_are_deltas_until_they_are_folded(spark, store, monkeypatch):
+    from tidewell.operators import store as store_module
+
+    t = store.table("ns.d")
+    t.replace(rows(spark, *[(i, "base") for i in range(6)], (None, "none")))
+    batch = lambda *r: spark.createDataFrame(list(r), "id int, v string, op string")
+    want = {None: "none", **dict.fromkeys(range(6), "base")}
+    for step in range(4):
+        t.apply_changes(batch((step, f"u{step}", "u"), (step + 1, None, "d"), (10 + step, "new", "c"), (5, "x", None)), "id")
+        want[step], want[10 + step] = f"u{step}", "new"
+        want.pop(step + 1, None)
+        assert len(t.version().parts) == 1 and len(t.version().deltas) == step + 1
+        assert {r.id: r.v for r in t.read().collect()} == want
+    assert t.expire(2**60) == 4 and {r.id: r.v for r in t.read().collect()} == want  # the data and deltas of the version that stays
+    t.append(rows(spark, (1, "again")))
+    want[1] = "again"
+    assert t.version().deltas == () and {r.id: r.v for r in t.read().collect()} == want
+    t.apply_changes(batch((1, "later", "u")), "id")
+    assert t.compact()[0] > 1 and t.version().deltas == () and t.read().where("id = 1").first().v == "later"
+    monkeypatch.setattr(store_module, "MAX_DELTAS", 2)
+    for _ in range(3):
+        t.apply_changes(batch((1, "x", "u")), "id")
+        assert len(t.version().deltas) < 2
+
+
+def test_a_token_is_part_of_the_append(spark, store):
+    t = store.table("ns.o")
+    t.create(rows(spark).schema)
+    assert t.append_once(rows(spark, (1, "a")), "last", "7") and not t.append_once(rows(spark, (1, "a")), "last", "7")
+    assert t.append_once(rows(spark, (2, "a")), "last", "8") and t.read().count() == 2
+
+
 def test_update(spark, store):
     from pyspark.sql import functions as F
 
@@ -129,3 +161,71 @@ def test_a_mix_of_changes_against_a_dict(spark, store):
         latest = changes.latest_per_key(mix, "id", "offset").drop("offset")
         t.apply_changes(latest, "id")
     assert {r.id: (r.amount, r.note) for r in t.read().collect()} == want
+
+
+class Recorder:
+    """A session that notes statements and answers those that are read."""
+
+    def __init__(self, spark, answers=()):
+        self.real, self.ran, self.answers = spark, [], dict(answers)
+        self.catalog = spark.catalog
+
+    def sql(self, text):
+        self.ran.append(text)
+        found = next((rows for start, rows in self.answers.items() if text.startswith(start)), [])
+        return type("Answer", (), {"collect": lambda _: found, "first": lambda _: found[0] if found else None})()
+
+
+def test_iceberg_tables_run_their_statements_in_order(spark):
+    fake = Recorder(spark, {"CALL c.system.rewrite_data": [{"rewritten_data_files_count": 4, "added_data_files_count": 1}], "CALL c.system.rewrite_position": [{"rewritten_delete_files_count": 2, "added_delete_files_count": 1}], "CALL c.system.expire": [{"deleted_data_files_count": 9}], "SHOW TBLPROPERTIES": [("last", "7"), ("comment", "old")]})
+    t = iceberg.IcebergStore(fake, "c", "s3://b/w").table("ns.t")
+    latest = spark.createDataFrame([(1, "a", "u"), (2, None, "d")], "id int, v string, op string")
+    t.apply_changes(latest, "id")
+    assert [x.split(" ")[0] for x in fake.ran] == ["MERGE", "DELETE"] and all("global_temp.changes_" in x for x in fake.ran)
+    fake.ran.clear()
+    t.apply_changes(latest.where("op = 'd'"), "id")
+    assert [x.split(" ")[0] for x in fake.ran] == ["DELETE"]  # no rows, no commit
+    fake.ran.clear()
+    t.create(latest.schema)
+    assert fake.ran[0] == "CREATE DATABASE IF NOT EXISTS `c`.`ns` LOCATION 's3://b/w/ns'"
+    assert "`id` int, `v` string" in fake.ran[1] and "'commit.retry.num-retries' = '20'" in fake.ran[1] and "'format-version' = '2'" in fake.ran[1]
+    fake.ran.clear()
+    t.purge(["a", "b"], "at", 7)
+    t.with_column_comments({"v": "it's"})
+    t.with_comment("new")
+    t.with_comment("old")
+    assert fake.ran == [iceberg.purge_sql("c.ns.t", ["a", "b"], "at", 7), "ALTER TABLE `c`.`ns`.`t` ALTER COLUMN `v` COMMENT 'it\\'s'", "SHOW TBLPROPERTIES `c`.`ns`.`t`", "ALTER TABLE `c`.`ns`.`t` SET TBLPROPERTIES ('comment' = 'new')", "SHOW TBLPROPERTIES `c`.`ns`.`t`"]
+    assert t.compact() == (4, 1) and t.compact_deletes() == (2, 1) and t.expire(0, 2) == 9 and "retain_last => 2" in fake.ran[-1]
+    assert not t.append_once(latest, "last", "7")
+    t.rewrite_manifests()
+    assert fake.ran[-1] == "CALL c.system.rewrite_manifests(table => 'ns.t')"
+
+
+def test_iceberg_replace_sets_properties_for_keyed_tables():
+    from unittest.mock import MagicMock
+
+    for properties, keyed in (({"key": "id"}, True), ({}, False)):
+        spark, df = MagicMock(), MagicMock()
+        writer = df.writeTo.return_value.using.return_value
+        writer.tableProperty.return_value = writer
+        iceberg.IcebergStore(spark, "c").table("ns.t").replace(df, properties)
+        given = {c.args[0]: c.args[1] for c in writer.tableProperty.call_args_list}
+        df.writeTo.assert_called_once_with("c.ns.t")
+        df.writeTo.return_value.using.assert_called_once_with("iceberg")
+        assert ("history.expire.max-snapshot-age-ms" in given) == keyed and given["write.spark.accept-any-schema"] == "false"
+        writer.createOrReplace.assert_called_once_with()
+    stream = MagicMock()
+    iceberg.IcebergTable(stream, "c", "ns.t").stream(0, 100)
+    stream.readStream.format.assert_called_once_with("iceberg")
+    iceberg.IcebergTable(stream, "c", "ns.t").metadata("history")
+    stream.table.assert_called_once_with("c.ns.t.history")
+
+
+def test_jobs_keep_tables_where_the_settings_say():
+    from tidewell.plans.jobs import table_store
+    from tidewell.settings import Settings
+
+    load = lambda kind: Settings.load(None, environ={"STORAGE__CATALOG": "lake", "STORAGE__BUCKET": "b", "STORAGE__CATALOG_TYPE": kind}, fetch=lambda c: {}, storage={"data_path": "/d"})
+    assert isinstance(table_store(None, load("local")), SnapshotStore)
+    found = table_store(None, load("glue"))
+    assert isinstance(found, iceberg.IcebergStore) and found.catalog == "lake" and found.table("n.t").full == "lake.n.t"

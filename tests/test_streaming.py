@@ -4,7 +4,6 @@ from datetime import datetime
 
 import pytest
 
-from tests.test_functions import SCHEMA
 from tidewell.operators.store import SnapshotStore
 from tidewell.sources import streams
 from tidewell.sources.avro import Codec
@@ -12,6 +11,18 @@ from tidewell.sources.registry import FixedRegistry
 from tidewell.streaming import change_batches as cb
 from tidewell.streaming import landing, signals
 
+_ROW = {
+    "type": "record", "name": "Row",
+    "fields": [
+        {"name": "id", "type": "int"}, {"name": "d", "type": {"type": "int", "connect.name": "io.debezium.time.Date"}},
+        {"name": "t", "type": [{"type": "long", "connect.name": "io.debezium.time.Timestamp", "default": 0}, "null"]},
+        {"name": "m", "type": ["null", {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 8}]},
+    ],
+}
+SCHEMA = {
+    "type": "record", "name": "Change",
+    "fields": [{"name": "before", "type": ["null", _ROW]}, {"name": "after", "type": ["null", "Row"]}, {"name": "op", "type": "string"}, {"name": "ts_ms", "type": ["null", "long"]}],
+}
 KEY = {"type": "record", "name": "Key", "fields": [{"name": "id", "type": "int"}]}
 WIDER = json.loads(json.dumps(SCHEMA))
 WIDER["fields"][0]["type"][1]["fields"].insert(1, {"name": "extra", "type": ["null", "string"]})

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import ledger
+from tidewell.operators.iceberg import IcebergStore
 from tidewell.operators.store import SnapshotStore
 
 log = logging.getLogger(__name__)
@@ -36,8 +37,8 @@ class ModifiedTables:
 class Maintainer:
     """Runs procedures on a store's tables and keeps the maintenance ledger; a procedure's failure is a row, not an error."""
 
-    def __init__(self, spark: SparkSession, store: SnapshotStore, dag_id: str, ops: str = "di_ops") -> None:
-        self.spark, self.store, self.dag_id = spark, store, dag_id
+    def __init__(self, spark: SparkSession, store: SnapshotStore | IcebergStore, dag_id: str, ops: str = "di_ops") -> None:
+        self.spark, self.store, self.dag_id, self.ops = spark, store, dag_id, ops
         self.ledger = store.table(f"{ops}.maintenance_watermark")
         self.changes = store.table(f"{ops}.cdc_watermark")
 
@@ -78,8 +79,19 @@ class Maintainer:
         return good
 
     def compact_deletes(self, name: str) -> bool:
-        """Nothing to do where deletes rewrite data; recorded all the same."""
-        return self._run(name, "rewrite_position_delete_files", lambda: (0, 0))
+        """Gather files of deletes; recorded as skipped where the table kind has none."""
+        started, table = datetime.now(UTC), self.store.table(name)
+        try:
+            files = table.compact_deletes()
+        except Exception as e:
+            log.exception("rewrite_position_delete_files of %s failed", name)
+            self.record(name, "rewrite_position_delete_files", started, "failed", str(e)[:4000])
+            return False
+        if files is None:
+            self.record(name, "rewrite_position_delete_files", started, "skipped", "the table has no delete files")
+        else:
+            self.record(name, "rewrite_position_delete_files", started, "success", files=files)
+        return True
 
     def remove_orphans(self, name: str, days: int = 3) -> bool:
         before = int((time.time() - days * 86_400) * 1000)
@@ -102,15 +114,14 @@ class Maintainer:
 
     def purge(self, days: int = 7) -> None:
         """Drop ledger rows older than ``days``, but for each group's newest."""
-        cutoff = F.current_timestamp() - F.expr(f"INTERVAL {int(days)} DAYS")
-        self.changes.rewrite(lambda t: ledger.kept_rows(t, ledger.CHANGE_GROUP, "processed_at", cutoff), "purge")
-        self.ledger.rewrite(lambda t: ledger.kept_rows(t, ledger.MAINTENANCE_GROUP, "started_at", cutoff), "purge")
+        self.changes.purge(ledger.CHANGE_GROUP, "processed_at", days)
+        self.ledger.purge(ledger.MAINTENANCE_GROUP, "started_at", days)
 
     def run_job(self, namespaces: list[str], retention_days: int = 7, orphan_days: int = 3) -> list[str]:
         """Purge and compact the ledgers, then remove orphans of every table in ``namespaces``."""
         self.purge(retention_days)
         for t in ("cdc_watermark", "maintenance_watermark"):
-            self.compact(f"{self.ledger.path.rsplit('/', 2)[-2]}.{t}", keep=2)
+            self.compact(f"{self.ops}.{t}", keep=2)
         names = self.store.tables(namespaces)
         for name in names:
             self.remove_orphans(name, orphan_days)

@@ -3,6 +3,9 @@
 A table is a folder.  Data folders are immutable; a version is a small manifest that lists those it consists of, and the
 newest manifest is the table.  A commit creates the next manifest, which fails if another writer was faster: rewrites then
 raise, appends try again.  Readers of a version aren't disturbed by later ones until it is expired.
+
+A batch of changes is written as a delta beside the data and merged by who reads, so a batch costs what it holds and not
+what the table does.  Deltas are folded into the data by compaction, by any rewrite, and by the batch that finds too many.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import changes as change_ops
+from tidewell.operators import ledger
 from tidewell.sources.files import Files
 
 RETRIES, WAIT_S = 20, 0.2
+#: Deltas, and bytes of deltas that outweigh the data, from which on a batch of changes folds them.
+MAX_DELTAS, FOLD_BYTES = 16, 256 << 20
 
 
 class CommitConflict(RuntimeError):
@@ -35,6 +41,12 @@ class Version:
     committed_ms: int
     operation: str
     properties: dict
+    deltas: tuple[str, ...] = ()
+    key: str | None = None
+
+    @property
+    def folders(self) -> tuple[str, ...]:
+        return (*self.parts, *self.deltas)
 
 
 class SnapshotTable:
@@ -56,28 +68,45 @@ class SnapshotTable:
                 raise LookupError(f"no table at {self.path}")
             number = known[-1]
         m = json.loads(self.files.read(f"{self.path}/_versions/v{number:012d}.json"))
-        return Version(number, tuple(m["parts"]), T.StructType.fromJson(m["schema"]), m["committed_ms"], m["operation"], m["properties"])
+        return Version(number, tuple(m["parts"]), T.StructType.fromJson(m["schema"]), m["committed_ms"], m["operation"], m["properties"], tuple(m.get("deltas", ())), m.get("key"))
 
     def history(self) -> list[Version]:
         return [self.version(n) for n in self._manifests()]
 
+    def schema(self) -> T.StructType:
+        return self.version().schema
+
+    def properties(self) -> dict:
+        return self.version().properties
+
+    def _data(self, parts: tuple[str, ...], schema: T.StructType) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{p}" for p in parts])
+
     def read(self, number: int | None = None) -> DataFrame:
         v = self.version(number)
-        if not v.parts:
-            return self.spark.createDataFrame([], v.schema)
-        return self.spark.read.schema(v.schema).parquet(*[f"{self.path}/data/{p}" for p in v.parts])
+        rows = self._data(v.parts, v.schema)
+        if not v.deltas:
+            return rows
+        delta = self._data(v.deltas, T.StructType([*v.schema.fields, T.StructField("_op", T.StringType()), T.StructField("_seq", T.LongType())]))
+        # deltas are small beside the data: the join is of their keys, and where these fit a broadcast no row of data moves
+        latest = delta if len(v.deltas) == 1 else change_ops.latest_per_key(delta.where(F.col(v.key).isNotNull()), v.key, "_seq").unionByName(delta.where(F.col(v.key).isNull()))
+        return change_ops.deleted(rows, latest, v.key).unionByName(change_ops.upserts(latest, "_op").select(*v.schema.fieldNames()))
 
     def _write(self, df: DataFrame) -> str:
         part = uuid.uuid4().hex
         df.write.parquet(f"{self.path}/data/{part}")
         return part
 
-    def _commit(self, number: int, parts: tuple[str, ...], schema: T.StructType, operation: str, properties: dict) -> Version:
+    def _commit(
+        self, number: int, parts: tuple[str, ...], schema: T.StructType, operation: str, properties: dict, deltas: tuple[str, ...] = (), key: str | None = None
+    ) -> Version:
         committed = int(time.time() * 1000)
-        text = json.dumps({"parts": parts, "schema": schema.jsonValue(), "committed_ms": committed, "operation": operation, "properties": properties})
-        if not self.files.create(f"{self.path}/_versions/v{number:012d}.json", text):
+        held = {"parts": parts, "schema": schema.jsonValue(), "committed_ms": committed, "operation": operation, "properties": properties, "deltas": deltas, "key": key}
+        if not self.files.create(f"{self.path}/_versions/v{number:012d}.json", json.dumps(held)):
             raise CommitConflict(f"version {number} of {self.path} was committed by another writer")
-        return Version(number, parts, schema, committed, operation, properties)
+        return Version(number, parts, schema, committed, operation, properties, deltas, key)
 
     def replace(self, df: DataFrame, properties: dict | None = None) -> Version:
         """Create the table or replace all of it, schema included."""
@@ -93,26 +122,48 @@ class SnapshotTable:
             except CommitConflict:
                 pass
 
-    def append(self, df: DataFrame) -> Version:
-        part = self._write(df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.version().schema.fields]))
+    def append(self, df: DataFrame, **properties: str) -> Version:
+        """Add rows, and set properties with them.  Rows may not be older than a delta, so deltas are folded first."""
+        v = self.version()
+        if v.deltas:
+            self.rewrite(lambda t: t, "fold")
+        part = self._write(df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in v.schema.fields]))
         for attempt in range(RETRIES):
             v = self.version()
             try:
-                return self._commit(v.number + 1, (*v.parts, part), v.schema, "append", v.properties)
+                return self._commit(v.number + 1, (*v.parts, part), v.schema, "append", {**v.properties, **properties})
             except CommitConflict:
                 if attempt == RETRIES - 1:
                     raise
                 time.sleep(WAIT_S * (attempt + 1))
         raise AssertionError
 
+    def append_once(self, df: DataFrame, name: str, token: str) -> bool:
+        """:func:`append`, unless ``token`` is what the last such append under ``name`` had; the token is part of the commit."""
+        if self.properties().get(name) == token:
+            return False
+        self.append(df, **{name: token})
+        return True
+
     def rewrite(self, change: Callable[[DataFrame], DataFrame], operation: str) -> Version:
         """Replace the rows by a function of them, in one commit against the version that was read."""
         v = self.version()
         return self._commit(v.number + 1, (self._write(change(self.read(v.number))),), v.schema, operation, v.properties)
 
     def apply_changes(self, latest: DataFrame, key: str, op: str = "op") -> Version:
-        """Upserts and deletes of ``latest`` (a row for each key) in one pass and one commit."""
-        return self.rewrite(lambda t: change_ops.applied(t, latest, key, op), "apply")
+        """Upserts and deletes of ``latest`` (a row for each key) in one commit, as a delta; rows without ``op`` are neither."""
+        v = self.version()
+        sizes = [sum(self._data_files(p)) for p in (v.parts, v.deltas)]
+        if v.key not in (None, key) or len(v.deltas) + 1 >= MAX_DELTAS or sizes[1] > max(sizes[0], FOLD_BYTES):
+            return self.rewrite(lambda t: change_ops.applied(t, latest, key, op), "apply")
+        columns = [latest[f.name].cast(f.dataType).alias(f.name) for f in v.schema.fields]
+        delta = latest.where(F.col(op).isNotNull()).select(*columns, latest[op].alias("_op"), F.lit(v.number + 1).cast("long").alias("_seq"))
+        return self._commit(v.number + 1, v.parts, v.schema, "apply", v.properties, (*v.deltas, self._write(delta)), key)
+
+    def purge(self, group: Sequence[str], time_: str, days: int) -> Version:
+        """Drop rows older than ``days``, but for each group's newest."""
+        cutoff = F.current_timestamp() - F.expr(f"INTERVAL {int(days)} DAYS")
+        return self.rewrite(lambda t: ledger.kept_rows(t, group, time_, cutoff), "purge")
 
     def upsert(self, source: DataFrame, *key: str) -> Version:
         return self.rewrite(lambda t: change_ops.upserted(t, source, *key), "upsert")
@@ -127,23 +178,27 @@ class SnapshotTable:
 
     def with_properties(self, **properties: str) -> Version:
         v = self.version()
-        return self._commit(v.number + 1, v.parts, v.schema, "properties", {**v.properties, **properties})
+        return self._commit(v.number + 1, v.parts, v.schema, "properties", {**v.properties, **properties}, v.deltas, v.key)
 
     def with_column_comments(self, comments: dict[str, str]) -> Version:
         v = self.version()
         fields = [T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, **({"comment": comments[f.name]} if f.name in comments else {})}) for f in v.schema.fields]
-        return self._commit(v.number + 1, v.parts, T.StructType(fields), "comments", v.properties)
+        return self._commit(v.number + 1, v.parts, T.StructType(fields), "comments", v.properties, v.deltas, v.key)
+
+    def with_comment(self, comment: str) -> None:
+        if self.properties().get("comment") != comment:
+            self.with_properties(comment=comment)
 
     # maintenance
     def _data_files(self, parts: tuple[str, ...]) -> list[int]:
         return [e.size for p in parts for e in self.files.entries(f"{self.path}/data/{p}") if "/part-" in e.path]
 
     def compact(self, target_bytes: int = 128 << 20) -> tuple[int, int]:
-        """Gather small files: (files rewritten, files written); (0, 0) if there is nothing to gain."""
+        """Fold deltas and gather small files: (files rewritten, files written); (0, 0) if there is nothing to gain."""
         v = self.version()
-        sizes = self._data_files(v.parts)
+        sizes = self._data_files(v.folders)
         wanted = max(1, -(-sum(sizes) // target_bytes))
-        if len(sizes) <= wanted:
+        if len(sizes) <= wanted and not v.deltas:
             return 0, 0
         part = self._write(self.read(v.number).coalesce(wanted))
         self._commit(v.number + 1, (part,), v.schema, "compact", v.properties)
@@ -153,16 +208,20 @@ class SnapshotTable:
         """Forget versions committed before ``older_than_ms``, but for the newest ``keep``, and delete data no other lists."""
         history = self.history()
         gone = [v for v in history[:-keep] if v.committed_ms < older_than_ms]
-        held = {p for v in history if v not in gone for p in v.parts}
+        held = {p for v in history if v not in gone for p in v.folders}
         for v in gone:
             self.files.delete(f"{self.path}/_versions/v{v.number:012d}.json")
-        for p in {p for v in gone for p in v.parts} - held:
+        for p in {p for v in gone for p in v.folders} - held:
             self.files.delete(f"{self.path}/data/{p}")
         return len(gone)
 
+    def compact_deletes(self) -> tuple[int, int] | None:
+        """None: there are no delete files beside deltas, which compaction folds."""
+        return None
+
     def remove_orphans(self, older_than_ms: int) -> list[str]:
         """Delete data folders that no version lists and that are older than the cutoff (a running writer's are younger)."""
-        held = {p for v in self.history() for p in v.parts}
+        held = {p for v in self.history() for p in v.folders}
         gone = [e.path for e in self.files.entries(f"{self.path}/data") if e.path.rsplit("/", 1)[-1] not in held and e.modified_ms < older_than_ms]
         for path in gone:
             self.files.delete(path)

@@ -15,21 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.functions import cleansing
 from tidewell.functions.naming import source_target
 from tidewell.operators import validation
+from tidewell.operators.iceberg import IcebergStore
 from tidewell.operators.maintenance import Maintainer
 from tidewell.operators.store import SnapshotStore
-from tidewell.session import STREAMING, create_session
+from tidewell.session import STREAMING, catalog_options, create_session
 from tidewell.settings import Settings
 from tidewell.sources import jdbc, streams, tables
+from tidewell.sources.files import Files
 from tidewell.sources.registry import HttpRegistry
 from tidewell.streaming import change_batches, landing, signals
 
 
+def table_store(spark: SparkSession, settings: Settings) -> SnapshotStore | IcebergStore:
+    """Where tables are kept: the session's catalog, or, without one, the engine's own store below the warehouse."""
+    if catalog_options(settings):
+        return IcebergStore(spark, settings.catalog, settings.warehouse)
+    return SnapshotStore(spark, settings.warehouse)
+
+
 def snapshot_rows(source: DataFrame, key: Sequence[str]) -> DataFrame:
     """A source table's rows as a mirror has them: trimmed, audited, with the surrogate key where there is one."""
     return cleansing.with_key(cleansing.with_audit(cleansing.trim_strings(source)), key)
 
 
-def snapshot(db: jdbc.Database, store: SnapshotStore, service: str, table: str, partitions: int = 1) -> str:
+def snapshot(db: jdbc.Database, store: SnapshotStore | IcebergStore, service: str, table: str, partitions: int = 1) -> str:
     """Replace a mirror by all of its source; returns the mirror's name."""
     target = source_target(service, table)
     key = db.primary_key(table)
@@ -46,7 +55,7 @@ def stage(db: jdbc.Database, warehouse: str, table: str, partitions: int = 1) ->
     return path
 
 
-def load(spark: SparkSession, store: SnapshotStore, service: str, table: str, path: str, key: Sequence[str]) -> str:
+def load(spark: SparkSession, store: SnapshotStore | IcebergStore, service: str, table: str, path: str, key: Sequence[str]) -> str:
     """Replace a mirror by staged Parquet."""
     target = source_target(service, table)
     rows = cleansing.renamed_audit(cleansing.timestamps_to_utc(cleansing.trim_strings(tables.parquet(spark, path))))
@@ -54,19 +63,18 @@ def load(spark: SparkSession, store: SnapshotStore, service: str, table: str, pa
     return target.name
 
 
-def validate(db: jdbc.Database, store: SnapshotStore, service: str, names: Sequence[str]) -> DataFrame:
+def validate(db: jdbc.Database, store: SnapshotStore | IcebergStore, service: str, names: Sequence[str]) -> DataFrame:
     """Findings on each table and its mirror; the mirrors' comments are brought in line with the sources'."""
     rows: list[tuple] = []
     for name in names:
         target = source_target(service, name)
         mirror = store.table(target.name)
-        schema = mirror.version().schema
+        schema = mirror.schema()
         rows += validation.findings(target.name, db.kind, db.columns(name), db.nullable(name), db.primary_key(name), schema)
         if changed := validation.comment_changes(schema, db.column_comments(name)):
             mirror.with_column_comments(changed)
-        comment = db.table_comment(name)
-        if comment and mirror.version().properties.get("comment") != comment:
-            mirror.with_properties(comment=comment)
+        if comment := db.table_comment(name):
+            mirror.with_comment(comment)
     return validation.findings_frame(store.spark, rows)
 
 
@@ -100,7 +108,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     a = _arguments().parse_args(argv)
     settings = Settings.load(a.env_file)
     spark = create_session(f"tidewell-{a.job}", settings, STREAMING if a.job in ("changes", "rounds", "land") else None)
-    store = SnapshotStore(spark, settings.warehouse)
+    store = table_store(spark, settings)
     root = f"s3a://{settings.storage['bucket']}"
     if a.job in ("snapshot", "stage", "load", "validate"):
         d = settings.database
@@ -147,7 +155,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         code = 1 if errors else 0
     else:
         code = change_batches.run_rounds(
-            drain, compact, signal.given, lambda s: signals.interruptible_sleep(s, signal.given), a.interval, failed=lambda: store.table("x").files.close_all()
+            drain, compact, signal.given, lambda s: signals.interruptible_sleep(s, signal.given), a.interval, failed=lambda: Files(spark, settings.warehouse).close_all()
         )
     signal.clear()
     return code

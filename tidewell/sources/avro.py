@@ -221,7 +221,12 @@ def _encoded_long(n: int) -> bytes:
 
 
 def decoded(df: DataFrame, column: str, schema: str | Mapping, into: str = "record") -> DataFrame:
-    """``df`` with the Avro values of ``column`` as ``into`` in its place; null stays null, a bad payload fails the query."""
+    """``df`` with the Avro values of ``column`` as ``into`` in its place; null stays null, a bad payload fails the query.
+
+    Where Spark's Avro module is loaded it decodes them, in the JVM; else this module does, in Arrow batches.
+    """
+    if avro_module_loaded(df.sparkSession):
+        return df.select(*[c for c in df.columns if c != column], native_from_avro(F.col(column), schema).alias(into))
     codec = Codec(schema)
     kind = codec.spark_type()
     others = [c for c in df.columns if c != column]
