@@ -50,3 +50,34 @@ def test_should_run():
 def test_ledger_rows_take_any_text(spark):
     df = ledger.ledger_rows(spark, ledger.MAINTENANCE_LEDGER, [{"dag_id": "a'b", "error_message": "it's \\ \"so\""}])
     assert df.first()["error_message"] == "it's \\ \"so\"" and df.first()["batch_id"] is None
+
+
+def test_index_percentiles_against_sorting(spark):
+    import random
+
+    from tidewell.operators import reports
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.randint(0, 9), rng.randint(-(10**6), 10**6), rng.random(), None])) for _ in range(3000)] + [("one", 5.0), ("c", float("nan")), ("c", 1.0)]
+    rows = [(g, None if v is None else float(v)) for g, v in rows]
+    shares = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p999": 0.999}
+    got = {r.g: tuple(r)[1:] for r in reports.index_percentiles(spark.createDataFrame(rows, "g string, v double").repartition(3), ["g"], "v", shares).collect()}
+    for g in {g for g, _ in rows}:
+        held = sorted((v for k, v in rows if k == g and v is not None), key=lambda v: (v != v, v))
+        assert repr(got[g]) == repr(tuple(held[int(len(held) * s)] for s in shares.values()))
+    assert reports.index_percentiles(spark.createDataFrame([], "g string, v double"), ["g"], "v", shares).collect() == []
+
+
+def test_concurrency_against_counting(spark, monkeypatch):
+    import random
+
+    from tidewell.operators import reports
+
+    monkeypatch.setattr(reports, "STRETCH", 7)
+    rng = random.Random(2)
+    spans = [(a, a + rng.choice([0, 3, 40, 700])) for a in (rng.randint(100, 5000) for _ in range(60))] + [(9000, 9400), (None, 5), (6, None)]
+    got = {r.point: r.running for r in reports.concurrency(spark.createDataFrame(spans, "a long, b long"), "a", "b", 10).collect()}
+    whole = [(a, b) for a, b in spans if a is not None and b is not None]
+    t0, t1 = min(a for a, _ in spans if a is not None), max(b for _, b in spans if b is not None)
+    want = {p: sum(a <= p <= b for a, b in whole) for p in range(t0, t1, 10)}
+    assert got == {p: n for p, n in want.items() if n}

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges that a group's values are cut into, and points of a grid that are run up together.
+CUTS, STRETCH = 64, 4096
+
 # Statement classes, in the order in which they are looked for.
 STATEMENT_CLASSES = (
     ("MERGE INTO", ("merge into",)),
@@ -32,13 +36,22 @@ def statement_class(text: Column) -> Column:
 def index_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
     """For each group the value at index floor(n * share) of its sorted values, as ``shares``' names; nulls don't count.
 
-    Equal values are counted before the shuffle, and no group's values are ever held in memory.
+    Equal values are counted before the shuffle.  Approximate quantiles cut a group's values into CUTS ranges; their counts
+    say which ranges hold the wanted indexes, and only these are sorted, each by itself.  So the result is exact, and a
+    group's values are neither sorted nor held by one task, however many they are.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    order = Window.partitionBy(*group).orderBy(value)
-    ranked = counts.withColumn("_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ranked = ranked.withColumn("_all", F.sum("_n").over(Window.partitionBy(*group)))
+    cuts = counts.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(F.percentile_approx(value, [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts"), F.sum("_n").alias("_all"))
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group]
+    placed = counts.join(cuts, reduce(Column.__and__, same)).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    order = Window.partitionBy(*[f"_of_{g}" for g in group]).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     at = lambda s: F.floor(F.col("_all") * F.lit(s))
+    ranges = placed.groupBy(*[f"_of_{g}" for g in group], "_all", "_range").agg(F.sum("_n").alias("_held")).withColumn("_before", F.coalesce(F.sum("_held").over(order), F.lit(0)))
+    wanted = ranges.where(reduce(Column.__or__, [(at(s) >= F.col("_before")) & (at(s) < F.col("_before") + F.col("_held")) for s in shares.values()]))
+    wanted = wanted.select(*[F.col(f"_of_{g}").alias(f"_want_{g}") for g in group], F.col("_range").alias("_w_range"), "_before")
+    inside = placed.join(wanted, reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_want_{g}")) for g in group] + [F.col("_range") == F.col("_w_range")]))
+    within = Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
     return ranked.groupBy(*group).agg(*[F.min(F.when(F.col("_upto") > at(s), F.col(value))).alias(name) for name, s in shares.items()])
 
 
@@ -73,15 +86,28 @@ def skewed_groups(tasks: DataFrame, group: str, duration: str, threshold: float
 def concurrency(spans: DataFrame, start: str, end: str, step: int) -> DataFrame:
     """How many spans cover each point of a grid from the first start (ends included), points that none covers left out.
 
-    A span is laid out over its own points only, so no span meets another.
+    A span is a step up and a step down, whatever its length.  Steps are summed by point, then run up within stretches of
+    the grid, over the sums of the stretches before; a row for each point is only made in the end.
     """
     first = spans.agg(F.min(start).alias("_t0"), F.max(end).alias("_t1"))
     s = spans.crossJoin(F.broadcast(first)).where(F.col(start).isNotNull() & F.col(end).isNotNull())  # one row
     step_ = F.lit(step)
     low = F.ceil((F.col(start) - F.col("_t0")) / step_)
     high = F.floor((F.least(F.col(end), F.col("_t1") - 1) - F.col("_t0")) / step_)
-    points = s.where(high >= low).select(F.explode(F.sequence(low, high)).alias("k"), "_t0")
-    return points.groupBy("k").agg(F.count("*").alias("running"), F.first("_t0").alias("_t0")).select((F.col("_t0") + F.col("k") * step_).alias("point"), "running")
+    edges = F.array(F.struct(low.alias("k"), F.lit(1).alias("d")), F.struct((high + 1).alias("k"), F.lit(-1).alias("d")))
+    steps = s.where(high >= low).select(F.explode(edges).alias("e")).groupBy(F.col("e.k").alias("k")).agg(F.sum("e.d").alias("d"))
+    steps = steps.withColumn("_stretch", F.floor(F.col("k") / STRETCH))
+    sums = steps.groupBy("_stretch").agg(F.sum("d").alias("_d"), F.min("k").alias("_k"))
+    in_order = Window.orderBy("_stretch")  # a row for each stretch
+    sums = sums.select(F.col("_stretch").alias("_s"), F.coalesce(F.sum("_d").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lead("_k").over(in_order).alias("_beyond"))
+    within = Window.partitionBy("_stretch").orderBy("k")
+    run = steps.join(sums, F.col("_stretch") == F.col("_s")).select(
+        "k",
+        (F.col("_before") + F.sum("d").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias("running"),
+        F.coalesce(F.lead("k").over(within), F.col("_beyond")).alias("next"),
+    )
+    points = run.where("running > 0").select(F.explode(F.sequence(F.col("k"), F.col("next") - 1)).alias("k"), "running").crossJoin(F.broadcast(first))
+    return points.select((F.col("_t0") + F.col("k") * step_).alias("point"), "running")
 
 
 def at_least_one(x: Column) -> Column:
