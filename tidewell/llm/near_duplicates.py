@@ -39,8 +39,9 @@ WORDS = 5
 FREQUENT = 1 << 20
 #: Prefix entries in one bucket, about.
 BUCKET_ENTRIES = 1_000_000
-#: Pairs of a tile, for each of its texts, that are listed at once; where there are more, bitmaps decide first.
-SMALL_TILE = 16
+#: Texts in a tile whose pairs are listed at once; in larger ones bitmaps decide first, unless nearly all are of one kin:
+#: then pairs of different kin are at most STRANGERS for each text.
+SMALL_TILE, STRANGERS = 16, 2
 #: Documents in one file of a table that is small beside the texts.
 FILE_DOCS = 5_000
 #: Smallest shingles by which stars are formed.
@@ -403,7 +404,7 @@ def _tiles(sets: DataFrame, stars: DataFrame, buckets: int) -> DataFrame:
         order = np.lexsort((kin[owner], which))
         edge = np.flatnonzero(np.append(True, (np.diff(which[order]) != 0) | (np.diff(kin[owner][order]) != 0))) if len(owner) else np.zeros(0, np.int64)
         np.add.at(within, which[order][edge], np.diff(np.append(edge, len(owner))) ** 2)
-        few = (lengths**2 - within) // 2 <= SMALL_TILE * lengths
+        few = (lengths <= SMALL_TILE) | ((lengths**2 - within) // 2 <= STRANGERS * lengths)
         pairs = np.zeros(0, np.int64)
         if few.any():
             listed = np.repeat(few, lengths)
@@ -531,7 +532,8 @@ def components(docs: DataFrame) -> DataFrame:
     by texts alone.  An empty table gives an empty result.
     """
     rows, full = _classes(docs)
-    lowest = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join below is one of two plain shuffles, which AQE can split where a class is large
+    lowest = stash(full.groupBy("component").agg(F.min("doc_id").alias("component_id")), "near-lowest")
     linked = full.join(lowest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
