@@ -87,3 +87,24 @@ def test_thin_sources_reach_their_targets(spark):
     for r in mixing.mix_sources(docs(spark, rows), rows_per_shard=20).collect():
         taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
     assert len(target) == 40 and all(abs(taken[s] - target[s]) <= 8 for s in target)
+
+
+def test_sources_kept_as_a_table_get_the_same(spark, monkeypatch):
+    rng = random.Random(11)
+    names = [f"s{i}" for i in range(60)] + ["Ａ", "\U0001f600", "ü", None]
+    rows = [(i, "w " * rng.choice([0, 1, 7, 30]), names[int(len(names) * rng.random() ** 3)]) for i in range(4000)]
+    once = sorted(map(tuple, mixing.mix_sources(docs(spark, rows), rows_per_shard=100).collect()), key=repr)
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 10)
+    table = sorted(map(tuple, mixing.mix_sources(docs(spark, rows), rows_per_shard=100).collect()), key=repr)
+    assert [r[:4] for r in table] == [r[:4] for r in once] and [r[4] for r in table] == pytest.approx([r[4] for r in once])
+    taken = lambda got: {s: sum(r[5] for r in got if r[1] == s) for s in {r[1] for r in got}}
+    assert taken(table) == taken(once)
+
+
+@pytest.mark.parametrize(("n_sources", "per_source"), [(3000, 20), (100, 3)])
+def test_every_source_is_within_a_block_of_its_target(spark, n_sources, per_source):
+    rows = [(i, "a b c d e f g h i j", f"s{i % n_sources:05}") for i in range(n_sources * per_source)] + [(10**6 + i, "rare", "zz") for i in range(80)]
+    got = mixing.mix_sources(docs(spark, rows)).groupBy("source", "target", "source_size").sum("taken").collect()
+    want = mixing.water_filled([10 * per_source] * n_sources + [80], [1 + i % 3 for i in range(n_sources + 1)], 3)
+    assert sorted(r.target for r in got) == pytest.approx(sorted(want))
+    assert all(abs(r["sum(taken)"] - r.target) <= 8 for r in got)

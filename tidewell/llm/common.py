@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.scratch import scratch_path, stash  # noqa: F401  operators take them from here
@@ -73,3 +73,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def doc_fold(doc_id: str, modulus: int):
     """crc32 of the id's text modulo ``modulus``; a null id counts as empty text (remainder 0)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def running_sums(cells: DataFrame, order: Sequence[Column], amount: str) -> DataFrame:
+    """``cells`` with ``before``: the sum of ``amount`` over all cells that come earlier in ``order``, which has no ties.
+
+    Two steps, so no task holds all cells: sums within ranges of the order, then over the ranges, of which there are as
+    many as the range partitioner makes.
+    """
+    parts = max(1, cells.sparkSession.sparkContext.defaultParallelism)
+    ranged = stash(cells.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sums = {r[0]: r[1] for r in ranged.groupBy("_range").agg(F.sum(amount)).collect()}
+    base, at = {}, 0
+    for k in sorted(sums):
+        base[k], at = at, at + sums[k]
+    start = F.element_at(F.create_map(*[F.lit(x) for k, v in base.items() for x in (k, v)]), F.col("_range")) if base else F.lit(0)
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.withColumn("before", start + F.coalesce(F.sum(amount).over(within), F.lit(0))).drop("_range")

@@ -8,11 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import stash
+from tidewell.llm.common import running_sums, stash
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Sources that the driver may hold; each is one (name, size) row.
-MAX_SOURCES = 2_000_000
+#: Sources that the driver apportions itself; more stay a table, over which the same is computed.
+MAX_SOURCES = 500_000
 
 
 def water_filled(sizes: Sequence[int], weights: Sequence[float], cap: float) -> list[float]:
@@ -70,6 +70,55 @@ def sainte_lague(shares: Sequence[float], seats: int, limits: Sequence[int] | No
     return held
 
 
+PLAN = "skey string, source_size long, target double, quota long"
+
+
+def _planned(found: list, weights: Sequence[float], cap: int, block_tokens: int) -> list[tuple]:
+    """PLAN's rows of sources (skey, size), in their order."""
+    targets = water_filled([r.size for r in found], [weights[i % len(weights)] for i in range(len(found))], cap)
+    limits = [-(-cap * r.size // block_tokens) for r in found]
+    quotas = sainte_lague(targets, round(sum(targets) / block_tokens), limits)
+    return [(r.skey, r.size, t, n) for r, t, n in zip(found, targets, quotas, strict=True)]
+
+
+def _planned_table(sources: DataFrame, weights: Sequence[float], cap: int, block_tokens: int) -> DataFrame:
+    """:func:`_planned` of a table of sources.  The level up to which weights are filled and the divisor of the quotas are
+    found by sums over the table; seats that tie at the divisor go to the highest quotients, ties to the earlier source."""
+    order = [F.col("skey") == "n", F.col("skey")]
+    ranked = running_sums(sources.select("skey", "size", F.lit(1).alias("one")), order, "one")
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), (F.col("before") % len(weights)).cast("int"))
+    rows = stash(ranked.select("skey", "size", F.col("before").alias("place"), weight.alias("weight")), "mix-ranked")
+    total, all_weights = rows.agg(F.sum("size"), F.sum("weight")).first()
+    full, level = F.lit(cap) * F.col("size"), 0.0
+    while True:  # the level only rises, and a source that is full stays full
+        below = full < F.lit(level) * F.col("weight")
+        held, left = rows.agg(F.sum(F.when(below, full).otherwise(0)), F.sum(F.when(below, 0.0).otherwise(F.col("weight")))).first()
+        after = (total - held) / left if left else level
+        if after <= level * (1 + 1e-12):
+            break
+        level = after
+    target = F.least(full.cast("double"), F.lit(level) * F.col("weight"))
+    rows = stash(rows.select("skey", "size", "place", target.alias("target"), F.ceil(full / block_tokens).alias("most")), "mix-targets")
+    shared = rows.agg(F.sum("target")).first()[0]
+    seats = round(shared / block_tokens)
+    dealt = lambda d: F.least(F.col("most"), F.floor(F.col("target") / F.lit(d) + 0.5))
+    low, high = shared / max(seats, 1) / 2, shared / max(seats, 1) * 2
+    while rows.agg(F.sum(dealt(high))).first()[0] > seats:
+        low, high = high, high * 2
+    for _ in range(12):  # 32 divisors at a time
+        tried = [low + (high - low) * (i + 1) / 32 for i in range(31)]
+        sums = rows.agg(*[F.sum(dealt(d)) for d in tried]).first()
+        good = next((i for i, n in enumerate(sums) if n <= seats), 31)
+        low, high = (tried[good - 1] if good else low), (tried[good] if good < 31 else high)
+    rows = stash(rows.withColumn("quota", dealt(high * (1 + 1e-9))), "mix-dealt")
+    over = seats - rows.agg(F.sum("quota")).first()[0]
+    quotient = F.col("target") / (2 * F.col("quota") + 1)
+    more = rows.where((F.col("target") > 0) & (F.col("quota") < F.col("most"))).orderBy(quotient.desc(), "place").limit(max(over, 0)).select(F.col("skey").alias("k"))
+    return rows.join(more, F.col("skey") == F.col("k"), "left").select(
+        "skey", F.col("size").alias("source_size"), "target", (F.col("quota") + F.col("k").isNotNull().cast("int")).cast("long").alias("quota")
+    )
+
+
 def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens: int, rows_per_shard: int, seed: int, carried: Column | None) -> DataFrame:
     """Rows with size, source_size, target and taken; with ``carried``, that expression of ``docs`` as ``row``, too."""
     columns = [
@@ -80,16 +129,17 @@ def _laid_out(docs: DataFrame, weights: Sequence[float], cap: int, block_tokens:
         F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)).alias("draw"),
     ]
     sized = stash(docs.select(*columns), "mix-rows")
-    found = sized.groupBy("skey").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    found.sort(key=lambda r: (r.skey == "n", r.skey))
-    targets = water_filled([r.size for r in found], [weights[i % len(weights)] for i in range(len(found))], cap)
-    shards = max(1, -(-sum(r.rows for r in found) // rows_per_shard))
-    limits = [-(-cap * r.size // block_tokens) for r in found]
-    quotas = sainte_lague(targets, round(sum(targets) / block_tokens), limits)
-    schema = "skey string, source_size long, target double, quota long"
-    by_source = docs.sparkSession.createDataFrame([(r.skey, r.size, t, n) for r, t, n in zip(found, targets, quotas, strict=True)], schema)
+    sources = sized.groupBy("skey").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+    found = sources.limit(MAX_SOURCES + 1).collect()
+    if len(found) <= MAX_SOURCES:
+        found.sort(key=lambda r: (r.skey == "n", r.skey))
+        n_rows = sum(r.rows for r in found)
+        by_source = docs.sparkSession.createDataFrame(_planned(found, weights, cap, block_tokens), PLAN)
+    else:
+        sources = stash(sources, "mix-sources")
+        n_rows = sources.agg(F.sum("rows")).first()[0]
+        by_source = _planned_table(sources, weights, cap, block_tokens)
+    shards = max(1, -(-n_rows // rows_per_shard))
 
     shard = F.pmod(F.col("draw"), F.lit(shards))
     # Words given up to a shard: the quota's rounded part, but in no shard more than cap times its words; what that cuts

@@ -10,13 +10,13 @@ group would cross from one shard to the next (at most one for each shard), it is
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Iterable, Sequence
+from collections.abc import Hashable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import stash
+from tidewell.llm.common import running_sums, stash
 
 SCHEMA = "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int"
 
@@ -194,23 +194,6 @@ def best_fit_decreasing(items: Iterable[tuple[Hashable, int]], capacity: int | N
     return {name: bins.place(size) for name, size in order}
 
 
-def _running(cells: DataFrame, order: Sequence[Column], amount: str) -> DataFrame:
-    """``cells`` with ``before``: the sum of ``amount`` over all cells that come earlier in ``order``, which has no ties.
-
-    Two steps, so no task holds all cells: sums within ranges of the order, then over the ranges, of which there are as
-    many as the range partitioner makes.
-    """
-    parts = max(1, cells.sparkSession.sparkContext.defaultParallelism)
-    ranged = stash(cells.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "shard-ranges")
-    sums = {r[0]: r[1] for r in ranged.groupBy("range").agg(F.sum(amount)).collect()}
-    base, at = {}, 0
-    for k in sorted(sums):
-        base[k], at = at, at + sums[k]
-    start = F.element_at(F.create_map(*[F.lit(x) for k, v in base.items() for x in (k, v)]), F.col("range")) if base else F.lit(0)
-    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.withColumn("before", start + F.coalesce(F.sum(amount).over(within), F.lit(0))).drop("range")
-
-
 def pack_shards(docs: DataFrame, shards: int | None = 16, capacity: int | None = None, head_per_shard: int = 4096, rows_per_cell: int = 1000) -> DataFrame:
     """Put every row of ``docs(doc_id, text, ...)`` into a shard: one of ``shards`` of near-equal bytes, or, with ``shards``
     None, of as few shards of ``capacity`` bytes as best-fit-decreasing packing takes (a group above it has its own).
@@ -253,7 +236,7 @@ def pack_shards(docs: DataFrame, shards: int | None = 16, capacity: int | None =
         salts = max(1, n_tail // 200)
         cell = [F.length(F.bin("bytes")).alias("class"), F.pmod(F.xxhash64("group"), F.lit(salts)).alias("salt")]
         tail = tail.select("group", "bytes", *cell)
-        cells = _running(tail.groupBy("class", "salt").agg(F.sum("bytes").alias("held")), [F.col("class").desc(), F.col("salt")], "held")
+        cells = running_sums(tail.groupBy("class", "salt").agg(F.sum("bytes").alias("held")), [F.col("class").desc(), F.col("salt")], "held")
         within = Window.partitionBy("class", "salt").orderBy(F.col("bytes").desc(), "group").rowsBetween(Window.unboundedPreceding, -1)
         begin = F.col("before") + F.coalesce(F.sum("bytes").over(within), F.lit(0))
         laid = tail.join(cells.select("class", "salt", "before"), ["class", "salt"]).select("group", "bytes", begin.alias("begin"))
@@ -284,7 +267,7 @@ def pack_shards(docs: DataFrame, shards: int | None = 16, capacity: int | None =
     )
     placed_rows = of_large.unionByName(of_small)
     placed_rows = stash(placed_rows, "shard-placed")
-    cells = _running(placed_rows.groupBy("shard", "cell").agg(F.count("*").alias("n")), [F.col("shard"), F.col("cell")], "n")
+    cells = running_sums(placed_rows.groupBy("shard", "cell").agg(F.count("*").alias("n")), [F.col("shard"), F.col("cell")], "n")
     first = cells.groupBy("shard").agg(F.min("before").alias("first"))
     cells = cells.join(first, "shard").select(F.col("shard").alias("s"), F.col("cell").alias("c"), (F.col("before") - F.col("first")).alias("offset"))
     within = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32")
