@@ -36,7 +36,7 @@ BUCKET_ENTRIES = 700_000
 #: Entries asked for, and tokens of chunks answered, in one task, about.
 TASK_ENTRIES = 2_800_000
 #: Rows that EM runs on in the driver, at most; more stay where they are, and every round sums them there.
-EM_ROWS = 200_000
+EM_ROWS = 1_000_000
 #: The end of a text; no word holds a line break.
 END = b"\n"
 TESTED, DELETED, RETAINED = 0, 1, 2
@@ -240,9 +240,9 @@ def expectation_maximisation(bucket: np.ndarray, held: np.ndarray, bigram: np.nd
 
 def expectation_maximisation_of(table: DataFrame, uniform: float) -> np.ndarray:
     """:func:`learned_weights` of the rows of ``table(bucket, held, bigram, unigram)``, which may be many."""
-    head = table.limit(EM_ROWS + 1).toPandas()
-    if len(head) <= EM_ROWS:
-        return expectation_maximisation(*(head[c].to_numpy() for c in ("bucket", "held", "bigram", "unigram")), uniform)
+    if table.count() <= EM_ROWS:
+        held = table.toArrow()  # 28 bytes a row
+        return expectation_maximisation(*(held.column(c).to_numpy() for c in ("bucket", "held", "bigram", "unigram")), uniform)
     total = np.zeros(CONTEXTS)
     for r in table.groupBy("bucket").agg(F.sum("held")).collect():  # a row for each bucket
         total[r[0]] = r[1]
