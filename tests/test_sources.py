@@ -173,3 +173,49 @@ def test_texts_of_figures(spark):
     ms = [reports.duration_text(F.lit(n)) for n in (5, 1500, 90_000, 7_200_000)]
     size = [reports.bytes_text(F.lit(n)) for n in (7, 2048, 5 * 1024**2, 3 * 1024**3)]
     assert tuple(spark.range(1).select(*ms, *size, reports.clock_text(F.lit(3_661_000))).first()) == ("5ms", "1.5s", "1.5m", "2.0h", "7B", "2.0KB", "5.0MB", "3.00GB", "01:01:01")
+
+
+def test_http_registry_asks_once_for_each_id():
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from threading import Thread
+    from urllib.error import HTTPError
+
+    from tidewell.sources.registry import HttpRegistry
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            asked.append(self.path)
+            good = self.path.endswith("/33")
+            self.send_response(200 if good else 404)
+            self.end_headers()
+            self.wfile.write(json.dumps({"schema": '{"type": "long"}'} if good else {"error_code": 40403}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        registry = HttpRegistry(f"http://127.0.0.1:{server.server_port}/")
+        assert registry.schema(33) == registry.schema(33) == '{"type": "long"}' and asked == ["/schemas/ids/33"]
+        with pytest.raises(HTTPError):
+            registry.schema(34)
+    finally:
+        server.shutdown()
+
+
+def test_kafka_options():
+    from unittest.mock import MagicMock
+
+    from tidewell.sources.streams import kafka_stream
+
+    spark = MagicMock()
+    kafka_stream(spark, "h:9092", "a.b.c", 500, '{"a.b.c": {"0": 7}}', {"kafka.security.protocol": "SSL"})
+    spark.readStream.format.assert_called_once_with("kafka")
+    given = spark.readStream.format.return_value.options.call_args.kwargs
+    assert given == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "a.b.c", "startingOffsets": '{"a.b.c": {"0": 7}}', "maxOffsetsPerTrigger": "500", "failOnDataLoss": "false",
+        "kafka.security.protocol": "SSL",
+    }

@@ -109,6 +109,25 @@ def test_copy_rename_and_listing(spark, store, tmp_path):
     assert store.tables([" A ", "b", "none"]) == ["b.t"] and other.table("a.t").read().count() == 1
 
 
+def test_copy_across_switches_credentials_for_the_second_half(spark, store, tmp_path):
+    from tidewell.operators.store import copy_across
+
+    store.table("a.t").replace(rows(spark, (1, "x")), {"key": "id"})
+    system = spark.sparkContext._jvm.java.lang.System
+    system.setProperty("tidewell.test.key", "first")
+    seen = []
+
+    class Target(SnapshotStore):
+        def table(self, name):
+            seen.append((name, system.getProperty("tidewell.test.key"), system.getProperty("tidewell.test.other")))
+            return super().table(name)
+
+    other = Target(spark, f"file://{tmp_path}/other")
+    copy_across("a.t", store, other, f"file://{tmp_path}/staging", {"tidewell.test.key": "second", "tidewell.test.other": "o"}, "b.t")
+    assert seen == [("b.t", "second", "o")] and system.getProperty("tidewell.test.key") == "first" and system.getProperty("tidewell.test.other") is None
+    assert other.table("b.t").read().count() == 1 and other.table("b.t").properties() == {"key": "id"} and not list((tmp_path / "staging").iterdir())
+
+
 def test_maintainer(spark, store):
     m = Maintainer(spark, store, "dag")
     m.ensure_ledgers()

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidewell.operators import changes as change_ops
 from tidewell.operators import ledger
-from tidewell.sources.files import Files
+from tidewell.sources.files import Files, switched
 
 RETRIES, WAIT_S = 20, 0.2
 #: Deltas, and bytes of deltas that outweigh the data, from which on a batch of changes folds them.
@@ -262,3 +262,19 @@ class SnapshotStore:
         """Copy a table's rows, schema and properties to another store."""
         v = self.table(name).version()
         return to.table(new or name).replace(self.table(name).read(), v.properties)
+
+
+def copy_across(name: str, source, target, staging: str, credentials: Mapping[str, str], new: str | None = None) -> None:
+    """Copy a table between stores that need different credentials, by way of Parquet in ``staging``, which both reach.
+
+    The rows are staged under the present credentials; then ``credentials`` (system properties of the driver's JVM, as the
+    object stores' default provider reads them) are set, cached file systems are dropped, and the table is created or
+    replaced.  The properties are as before in the end, also where that fails.
+    """
+    spark = source.spark
+    properties = dict(source.table(name).properties())
+    path = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
+    source.table(name).read().write.parquet(path)
+    with switched(spark, credentials):
+        target.table(new or name).replace(spark.read.parquet(path), properties)
+    Files(spark, path).delete(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -60,3 +62,21 @@ class Files:
     def close_all(self) -> None:
         """Drop cached file systems, after a failed round."""
         self._jvm.org.apache.hadoop.fs.FileSystem.closeAll()
+
+
+@contextmanager
+def switched(spark: SparkSession, properties: Mapping[str, str]) -> Iterator[None]:
+    """The driver's JVM with other system properties; file systems that were opened under the former ones are dropped."""
+    system, file_system = spark.sparkContext._jvm.java.lang.System, spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+    before = {k: system.getProperty(k) for k in properties}
+
+    def put(values: Mapping[str, str | None]) -> None:
+        for k, v in values.items():
+            system.clearProperty(k) if v is None else system.setProperty(k, v)
+        file_system.closeAll()
+
+    put(properties)
+    try:
+        yield
+    finally:
+        put(before)
