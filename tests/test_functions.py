@@ -145,3 +145,48 @@ def test_avro_is_decoded_natively_where_the_module_is_loaded(spark, monkeypatch)
     got = avro.decoded(spark.createDataFrame([(1, bytearray(b"abc"))], "id int, value binary"), "value", CHANGE, "v")
     assert got.columns == ["id", "v"] and got.first().v.n == 3 and asked == [CHANGE]
     assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_avro_by_column_equals_value_by_value():
+    import random
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    from tidewell.sources import avro
+
+    inner = {"type": "record", "name": "In", "fields": [{"name": "e", "type": {"type": "enum", "name": "E", "symbols": ["x", "y", "z"]}}, {"name": "w", "type": {"type": "fixed", "name": "F", "size": 3}}]}
+    kind = {
+        "type": "record", "name": "Out",
+        "fields": [
+            {"name": "a", "type": "long"}, {"name": "b", "type": ["null", "int"]}, {"name": "c", "type": ["string", "null"]}, {"name": "d", "type": "double"}, {"name": "f", "type": "float"},
+            {"name": "g", "type": "boolean"}, {"name": "h", "type": ["null", inner]}, {"name": "i", "type": ["null", "In"]}, {"name": "j", "type": "bytes"}, {"name": "n", "type": "null"},
+            {"name": "k", "type": ["null", {"type": "bytes", "logicalType": "decimal", "precision": 20, "scale": 4}]},
+        ],
+    }
+    rng = random.Random(3)
+    maybe = lambda v: v if rng.random() < 0.7 else None
+    one = lambda: {"e": rng.choice("xyz"), "w": rng.randbytes(3)}
+    codec = avro.Codec(kind)
+    assert avro.Columns.fit(codec)
+    values = [
+        {
+            "a": rng.choice([0, -1, 2**63 - 1, -(2**63), rng.randint(-(10**9), 10**9)]), "b": maybe(rng.randint(-(2**31), 2**31 - 1)), "c": maybe("é" * rng.randint(0, 90)), "d": rng.random(),
+            "f": float(rng.randint(0, 99)), "g": rng.random() < 0.5, "h": maybe(one()), "i": maybe(one()), "j": rng.randbytes(rng.randint(0, 200)), "n": None,
+            "k": maybe(Decimal(rng.choice([0, -1, 127, 128, -129, 10**19, -(10**19), rng.randint(-(10**9), 10**9)])).scaleb(-4)),
+        }
+        for _ in range(300)
+    ]
+    data = [codec.writer()(v) if i % 7 else None for i, v in enumerate(values)]
+    arrow = to_arrow_type(codec.spark_type())
+    for part in (data, data[5:40], [None, None], []):
+        want = [None if x is None else codec.reader()(x, 0)[0] for x in part]
+        assert avro._decoded_batch(codec, pa.array(part, pa.binary()), arrow).to_pylist() == want
+    assert avro._decoded_batch(codec, pa.array(data, pa.binary()).slice(11, 50), arrow).to_pylist() == [None if x is None else codec.reader()(x, 0)[0] for x in data[11:61]]
+    good = data[1]
+    for bad, why in ((good[:-1], "ends inside"), (good + b"x", "bytes after"), (b"\xff" * 11, "ten bytes|ends inside"), (b"\x00\x09", "branch|ends inside")):
+        with pytest.raises(ValueError, match=why):
+            avro._decoded_batch(codec, pa.array([good, bad], pa.binary()), arrow)
+    union = avro.Codec({"type": "record", "name": "U", "fields": [{"name": "u", "type": ["int", "null", "string"]}]})
+    got = avro._decoded_batch(union, pa.array([b"\x00\x06", b"\x04\x02q", b"\x02"], pa.binary()), to_arrow_type(union.spark_type())).to_pylist()
+    assert got == [{"u": {"member0": 3, "member1": None}}, {"u": {"member0": None, "member1": "q"}}, {"u": None}]

@@ -1,7 +1,9 @@
 """Avro payloads: Spark's own functions where the module is loaded, else a decoder after the Avro specification.
 
-The decoder runs in Arrow batches.  A schema is compiled once per task to nested closures, so values aren't dispatched by
-schema text; named types (an envelope's ``after`` is the record its ``before`` defines) resolve to their definition.
+The decoder runs in Arrow batches and works by column: all payloads of a batch take the same step through the schema
+together, in numpy, and each field becomes an Arrow array at once (:class:`Columns`).  Payloads with arrays or maps, whose
+steps differ from value to value, are decoded one by one, by closures that a schema is compiled to once per task.  Named types
+(an envelope's ``after`` is the record its ``before`` defines) resolve to their definition.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from decimal import Decimal
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,6 +206,8 @@ class Codec:
             return lambda v: (_encoded_long(len(v)) + b"".join(map(item, v)) if v else b"") + b"\x00"
         if name == "enum":
             return lambda v: _encoded_long(kind["symbols"].index(v))
+        if name == "fixed":
+            return bytes
         return {
             "null": lambda v: b"", "boolean": lambda v: b"\x01" if v else b"\x00", "int": _encoded_long, "long": _encoded_long,
             "float": struct.Struct("<f").pack, "double": struct.Struct("<d").pack, "bytes": lambda v: _encoded_long(len(v)) + v,
@@ -220,6 +225,121 @@ def _encoded_long(n: int) -> bytes:
     return bytes(out)
 
 
+class Columns:
+    """Decodes payloads that lie one after the other in a buffer, all together."""
+
+    def __init__(self, codec: Codec, data: bytes | memoryview, begin: np.ndarray, end: np.ndarray) -> None:
+        self.codec, self.end = codec, end
+        self.data = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(16, np.uint8)])  # a step may look beyond the end
+        self.at = begin.astype(np.int64)
+
+    @classmethod
+    def fit(cls, codec: Codec, kind: Any = None) -> bool:
+        """Whether all payloads of a type take the same steps, but for branches of unions."""
+        kind = codec._plain(codec.schema if kind is None else kind)
+        if isinstance(kind, list):
+            return all(cls.fit(codec, k) for k in kind)
+        if isinstance(kind, dict) and kind["type"] == "record":
+            return bool(kind["fields"]) and all(cls.fit(codec, f["type"]) for f in kind["fields"])
+        return not (isinstance(kind, dict) and (kind["type"] in ("array", "map") or (kind.get("logicalType") == "decimal" and kind["precision"] > 38)))
+
+    def decode(self) -> pa.Array:
+        out = self._value(self.codec.schema, np.arange(len(self.at)))
+        if (self.at != self.end).any():
+            raise ValueError("bytes after an Avro value")
+        return out
+
+    def _moved(self, rows: np.ndarray, by: np.ndarray | int) -> np.ndarray:
+        """Where ``rows`` are, before they move on."""
+        start = self.at[rows]
+        if (np.asarray(by) < 0).any() or (start + by > self.end[rows]).any():
+            raise ValueError("payload ends inside a value")
+        self.at[rows] = start + by
+        return start
+
+    def _longs(self, rows: np.ndarray) -> np.ndarray:
+        value = np.zeros(len(rows), np.uint64)
+        open_ = np.arange(len(rows))
+        for shift in range(0, 70, 7):
+            byte = self.data[self._moved(rows[open_], 1)]
+            value[open_] |= (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
+            open_ = open_[byte >= 0x80]
+            if not len(open_):
+                return (value >> np.uint64(1)).astype(np.int64) ^ -(value & np.uint64(1)).astype(np.int64)
+        raise ValueError("a number of more than ten bytes")
+
+    def _gathered(self, rows: np.ndarray, n: np.ndarray, kind: pa.DataType) -> pa.Array:
+        start = self._moved(rows, n)
+        ends = np.cumsum(n)
+        held = self.data[np.repeat(start - (ends - n), n) + np.arange(int(n.sum()))]
+        return pa.Array.from_buffers(kind, len(rows), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(held)])
+
+    def _decimals(self, rows: np.ndarray, n: np.ndarray, precision: int, scale: int) -> pa.Array:
+        if (n > 16).any():
+            raise ValueError("a decimal of more than 16 bytes")
+        start = self._moved(rows, n)
+        out = np.empty((len(rows), 16), np.uint8)  # little-endian; beyond the payload its sign goes on
+        sign = np.where((n > 0) & (self.data[start] >= 0x80), 0xFF, 0).astype(np.uint8)
+        for i in range(16):
+            out[:, i] = np.where(i < n, self.data[np.maximum(start + n - 1 - i, 0)], sign)
+        return pa.Array.from_buffers(pa.decimal128(precision, scale), len(rows), [None, pa.py_buffer(out)])
+
+    def _union(self, kinds: list, rows: np.ndarray) -> pa.Array:
+        branch = self._longs(rows)
+        if ((branch < 0) | (branch >= len(kinds))).any():
+            raise ValueError("a branch that the union doesn't have")
+        members = []
+        for k, kind in enumerate(kinds):
+            if kind == "null":
+                continue
+            own = branch == k
+            place = pa.array(np.cumsum(own) - 1, mask=~own)
+            members.append(self._value(kind, rows[own]).take(place))
+        if len(members) > 1:
+            mask = pa.array(np.isin(branch, [k for k, kind in enumerate(kinds) if kind == "null"]))
+            return pa.StructArray.from_arrays(members, [f"member{i}" for i in range(len(members))], mask=mask)
+        return members[0] if members else pa.nulls(len(rows))
+
+    def _value(self, kind: Any, rows: np.ndarray) -> pa.Array:
+        kind = self.codec._plain(kind)
+        if isinstance(kind, list):
+            return self._union(kind, rows)
+        name = kind if isinstance(kind, str) else kind["type"]
+        if name == "record":
+            return pa.StructArray.from_arrays([self._value(f["type"], rows) for f in kind["fields"]], [f["name"] for f in kind["fields"]])
+        if name in ("bytes", "fixed", "string"):
+            n = np.full(len(rows), kind["size"]) if name == "fixed" else self._longs(rows)
+            if isinstance(kind, dict) and kind.get("logicalType") == "decimal":
+                return self._decimals(rows, n, kind["precision"], kind.get("scale", 0))
+            out = self._gathered(rows, n, pa.string() if name == "string" else pa.binary())
+            out.validate(full=True)
+            return out
+        if name in ("int", "long"):
+            values = self._longs(rows)
+            return pa.array(values, pa.int64()).cast(pa.int32()) if name == "int" else pa.array(values)
+        if name in ("float", "double"):
+            width = 4 if name == "float" else 8
+            start = self._moved(rows, width)
+            return pa.array(np.ascontiguousarray(self.data[start[:, None] + np.arange(width)]).view(f"<f{width}").reshape(-1))
+        if name == "boolean":
+            return pa.array(self.data[self._moved(rows, 1)] != 0)
+        if name == "enum":
+            return pa.array(kind["symbols"], pa.string()).take(pa.array(self._longs(rows)))
+        return pa.nulls(len(rows))
+
+
+def _decoded_batch(codec: Codec, values: pa.Array, arrow: pa.DataType) -> pa.Array:
+    """A batch of payloads by column; null stays null."""
+    values = values.cast(pa.binary())
+    good = values.drop_null()
+    offsets = np.frombuffer(good.buffers()[1], np.int32)[good.offset : good.offset + len(good) + 1].astype(np.int64)
+    found = Columns(codec, good.buffers()[2] or b"", offsets[:-1], offsets[1:]).decode()
+    if values.null_count:
+        there = values.is_valid().to_numpy(zero_copy_only=False)
+        found = found.take(pa.array(np.cumsum(there) - 1, mask=~there))
+    return found.cast(arrow)
+
+
 def decoded(df: DataFrame, column: str, schema: str | Mapping, into: str = "record") -> DataFrame:
     """``df`` with the Avro values of ``column`` as ``into`` in its place; null stays null, a bad payload fails the query.
 
@@ -236,7 +356,12 @@ def decoded(df: DataFrame, column: str, schema: str | Mapping, into: str = "reco
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        read, arrow = Codec(source).reader(), to_arrow_type(kind)
+        own, arrow = Codec(source), to_arrow_type(kind)
+        if Columns.fit(own):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], _decoded_batch(own, batch.column(len(others)), arrow)], [*others, into])
+            return
+        read = own.reader()
         for batch in batches:
             values = []
             for data in batch.column(len(others)).to_pylist():
