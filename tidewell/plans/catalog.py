@@ -380,7 +380,7 @@ def log_task_times(spark, sf_dir):
 
 @query(
     f"""WITH {_RUN}, t AS (SELECT (user_id % 7)::VARCHAR AS executor_id, count(*) AS tasks, avg(took * took // 1000) AS avg_ms, sum(took * took // 1000)::BIGINT AS busy_ms FROM run GROUP BY 1),
-u AS (SELECT executor_id, 2 AS cores, tasks, avg_ms, busy_ms, 50000000 AS span_ms, 100.0::DOUBLE * busy_ms / 100000000 AS utilisation_pct, 'h' || executor_id AS host, (executor_id::BIGINT + 1) * 1000 AS memory FROM t)
+u AS (SELECT executor_id, 2 AS cores, tasks, avg_ms, busy_ms, 50000000::BIGINT AS span_ms, 100.0::DOUBLE * busy_ms / 100000000 AS utilisation_pct, 'h' || executor_id AS host, (executor_id::BIGINT + 1) * 1000 AS memory FROM t)
 SELECT *, CASE WHEN utilisation_pct < 30 THEN 'idle' WHEN utilisation_pct < 50 THEN 'low' WHEN utilisation_pct < 80 THEN 'good' ELSE 'busy' END AS verdict FROM u"""
 )
 def log_executors(spark, sf_dir):
