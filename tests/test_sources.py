@@ -36,6 +36,14 @@ def test_partitioned_read(derby):
     assert derby.primary_key("STORE.TB") == ["ID"] and derby.primary_key("STORE.NOTHING") == []
 
 
+def test_archived_rows_come_back_as_they_were(spark):
+    rows = [(1, "O", 1.5), (None, None, None), (3, "", 1 / 3), (4, " a,b ", -1e300), (5, 'q"u', 4.9e-324), (6, "two\r\nlines", 1e17), (2**62, "x" * 32672, None), (7, '""', 0.1)]
+    for kept in (rows, []):
+        db = jdbc.Derby.archived(spark, "APP.ODD", spark.createDataFrame(kept, "id long, status string, price double").repartition(3))
+        df = db.read("APP.ODD", 4)
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(kept, key=repr) and df.rdd.getNumPartitions() == (4 if kept else 1)
+
+
 def test_snapshot_stage_load_and_validate(spark, derby, tmp_path):
     store = SnapshotStore(spark, f"file://{tmp_path}/wh")
     name = jobs.snapshot(derby, store, "local", "STORE.TB", 2)

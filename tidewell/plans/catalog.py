@@ -162,11 +162,9 @@ def avro_round_trip(spark, sf_dir):
 
 
 def order_database(spark: SparkSession, sf_dir: str) -> jdbc.Database:
-    """An operational database that holds the orders: Derby, in the driver's memory."""
-    db = jdbc.Derby.memory(spark, "catalog")
+    """An operational database that holds the orders: Derby, in a file that all executors open."""
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    rows.coalesce(1).write.format("jdbc").options(**db.options).option("dbtable", "APP.ORDERS").option("createTableColumnTypes", "o_orderstatus VARCHAR(1)").option("batchsize", 5000).mode("overwrite").save()
-    return db
+    return jdbc.Derby.archived(spark, "APP.ORDERS", rows)
 
 
 @query("SELECT min(o_orderkey) AS lower_bound, max(o_orderkey) AS upper_bound FROM orders")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import shutil
+import zipfile
 from abc import ABC, abstractmethod
 from collections.abc import Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.functions.naming import checked
+from tidewell.scratch import scratch_path
 
 
 @dataclass(frozen=True)
@@ -89,6 +95,26 @@ class Database(ABC):
         return reader.options(**ranges).load()
 
 
+def _mounted(spark: SparkSession, path: str) -> Path:
+    """Where a folder is for programs that know nothing of Hadoop's file systems."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).resolvePath(at).toUri()
+    if uri.getScheme() != "file":
+        raise ValueError(f"a database file needs a mounted scratch folder (spark.checkpoint.dir), not {uri.toString()}")
+    return Path(uri.getPath())
+
+
+def _joined(folder: Path) -> Path:
+    """The part files of a folder as one, which grows out of the first."""
+    first, *others = sorted(folder.glob("part-*"))
+    with first.open("ab") as out:
+        for p in others:
+            with p.open("rb") as part:
+                shutil.copyfileobj(part, out, 1 << 20)
+            p.unlink()
+    return first
+
+
 class MySql(Database):
     kind = "mysql"
 
@@ -223,11 +249,55 @@ class Derby(Database):
     kind = "mysql"  # its types are read like MySQL's
 
     @classmethod
-    def memory(cls, spark: SparkSession, name: str) -> Derby:
+    def at(cls, spark: SparkSession, place: str) -> Derby:
         system = spark.sparkContext._jvm.java.lang.System
         if system.getProperty("derby.stream.error.file") is None:  # else it writes a log beside whoever runs it
             system.setProperty("derby.stream.error.file", "/dev/null")
-        return cls(spark, {"url": f"jdbc:derby:memory:{name};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+        return cls(spark, {"url": f"jdbc:derby:{place}", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+
+    @classmethod
+    def memory(cls, spark: SparkSession, name: str) -> Derby:
+        """In the memory of whichever process connects, so for local sessions only."""
+        return cls.at(spark, f"memory:{name};create=true")
+
+    @classmethod
+    def archived(cls, spark: SparkSession, table: str, rows: DataFrame) -> Derby:
+        """A read-only database of one table that the driver and all executors open, in the scratch folder (a mounted one).
+
+        Spark writes the rows as lines, which the driver's Derby loads in bulk on disk.  The archive isn't compressed: a page is a seek.
+        """
+        path = scratch_path(spark, "database")
+        text = [F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')) for c in rows.columns]
+        lines = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in text])  # null: nothing, not even quotes
+        rows.select(lines.alias("value")).write.option("compression", "none").text(f"{path}/lines")
+        folder = _mounted(spark, path)
+        cls.at(spark, f"{folder}/db")._load(table, rows.dtypes, _joined(folder / "lines"))
+        shutil.rmtree(folder / "lines")
+        with zipfile.ZipFile(folder / "db.jar", "w", zipfile.ZIP_STORED) as archive:
+            for p in sorted((folder / "db").rglob("*")):
+                archive.write(p, p.relative_to(folder))
+        shutil.rmtree(folder / "db")
+        return cls.at(spark, f"jar:({folder}/db.jar)db")
+
+    def _load(self, table: str, dtypes: list[tuple[str, str]], file: Path) -> None:
+        """Create the database and the table, take the file's lines, and shut the database down."""
+        schema, name = self.parts(table)
+        columns = ", ".join(f"{self.quoted(checked(c))} {'VARCHAR(32672)' if kind == 'string' else kind.upper()}" for c, kind in dtypes)
+        connect, url = self.spark.sparkContext._jvm.java.sql.DriverManager.getConnection, self.options["url"]
+        connection = connect(f"{url};create=true")
+        try:
+            statement = connection.createStatement()
+            statement.execute("CALL SYSCS_UTIL.SYSCS_SET_DATABASE_PROPERTY('derby.storage.pageReservedSpace', '0')")  # rows never grow
+            statement.execute(f"CREATE TABLE {self.source_name(table)} ({columns})")
+            place = str(file).replace("'", "''")
+            statement.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE('{schema}', '{name}', '{place}', ',', '\"', 'UTF-8', 1)")
+        finally:
+            connection.close()
+            try:
+                connect(f"{url};shutdown=true")
+            except Py4JJavaError as ended:
+                if ended.java_exception.getSQLState() != "08006":  # it says by an exception that it is down
+                    raise
 
     def quoted(self, column: str) -> str:
         return f'"{column}"'
