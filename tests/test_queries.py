@@ -46,7 +46,7 @@ for name in sys.argv[3:]:
     df = catalog.QUERIES[name](spark, sys.argv[2])
     print(json.dumps([name, sorted(df.columns), [[r[c] for c in sorted(df.columns)] for r in df.collect()]]), flush=True)
 """
-DATABASE_QUERIES = ["jdbc_bounds", "jdbc_range_read"]
+DATABASE_QUERIES = ["jdbc_bounds", "jdbc_pushed_query", "jdbc_range_read"]
 
 
 @pytest.fixture(scope="module")
